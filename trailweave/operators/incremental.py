@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 
 def since(df: DataFrame, column: str, boundary: date | None) -> DataFrame:
@@ -88,7 +87,7 @@ def write_snapshot(df: DataFrame, path: str, version: str, cluster: Sequence[str
     df.write.mode("overwrite").parquet(f"{path}/version={version}")
 
 
-def latest_snapshot(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+def latest_snapshot(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
     """The newest completely written version, or None when there is none."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)

@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import EngineConfig
 from ..functions import metrics as m
 from ..functions.calendar import week_start
 from ..operators.incremental import since
 
-FIRST_VISIT = T.StructType.fromDDL(
-    "user_pseudo_id string, first_visit_date date, first_visit_week date"
-)
+FIRST_VISIT = "user_pseudo_id string, first_visit_date date, first_visit_week date"
 
 
 def first_visits(staged: DataFrame, cfg: EngineConfig, incremental: bool = False) -> DataFrame:

@@ -6,15 +6,13 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import EngineConfig
 from ..functions import metrics as m
 from ..functions.text import UNKNOWN
 from ..operators.incremental import append_new_keys, since
 
-SESSION = T.StructType.fromDDL(
-    """
+SESSION = """
     session_key string,
     user_pseudo_id string,
     ga_session_id bigint,
@@ -41,16 +39,34 @@ SESSION = T.StructType.fromDDL(
     geo_country string,
     session_date date
     """
-)
 
-_COLUMNS = [
+COLUMNS = (
     "session_key",
     "user_pseudo_id",
     "ga_session_id",
     "session_number",
     "session_date",
-    *(f.name for f in SESSION[4:-1]),
-]
+    "session_start",
+    "session_end",
+    "duration_seconds",
+    "is_bounced_flag",
+    "is_bounced_3cond",
+    "events",
+    "pageviews",
+    "product_views",
+    "cart_additions",
+    "wishlist_additions",
+    "purchase_events",
+    "engagement_time_msec",
+    "device_category",
+    "device_class",
+    "channel_group",
+    "manual_source",
+    "manual_medium",
+    "geo_city",
+    "geo_region",
+    "geo_country",
+)
 
 SESSION_ID = ["user_pseudo_id", "ga_session_id"]
 
@@ -107,4 +123,4 @@ def sessions(
     fresh = since(built, "session_date", boundary)
     if boundary and stored is not None:
         fresh = append_new_keys(fresh, stored.where(F.col("session_date") < F.lit(boundary)), SESSION_ID)
-    return fresh.select(*_COLUMNS)
+    return fresh.select(*COLUMNS)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import EngineConfig
 from ..functions import nested as n
@@ -13,8 +12,7 @@ from ..operators.incremental import since
 from ..sources.export import uncovered_intraday
 from ..sources.schema import PHYSICAL_KEY
 
-STAGED_EVENT = T.StructType.fromDDL(
-    """
+STAGED_EVENT = """
     event_timestamp timestamp,
     event_name string,
     user_pseudo_id string,
@@ -54,12 +52,38 @@ STAGED_EVENT = T.StructType.fromDDL(
     item_list_name string,
     event_date date
     """
-)
 
-_COLUMNS = [
+COLUMNS = (
     "event_date",
-    *(f.name for f in STAGED_EVENT if f.name != "event_date"),
-]
+    "event_timestamp",
+    "event_name",
+    "user_pseudo_id",
+    "ga_session_id",
+    "ga_session_number",
+    "session_engaged",
+    "engagement_time_msec",
+    "page_location",
+    "page_path",
+    "page_title",
+    "page_type",
+    "device_category",
+    "device_class",
+    "platform",
+    "hostname",
+    "geo_city",
+    "geo_region",
+    "geo_country",
+    "channel_group",
+    "manual_source",
+    "manual_medium",
+    "transaction_id",
+    "revenue_local",
+    "revenue_usd",
+    "item_quantity",
+    "items",
+    "shard_type",
+    "item_list_name",
+)
 
 
 def typed_events(raw: DataFrame, *keep: str) -> DataFrame:
@@ -131,4 +155,4 @@ def staged_events(
         )
     )
     # a late hit can sit in a fresh shard yet belong to a date before the window
-    return since(merged, "event_date", boundary).select(*_COLUMNS)
+    return since(merged, "event_date", boundary).select(*COLUMNS)

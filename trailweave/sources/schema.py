@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 _PARAMS = """array<struct<
     key: string,
     value: struct<string_value: string, int_value: bigint, double_value: double>
 >>"""
 
-RAW_EVENT = T.StructType.fromDDL(
-    f"""
+RAW_EVENT = f"""
     event_date string,
     event_timestamp bigint,
     event_name string,
@@ -46,7 +43,6 @@ RAW_EVENT = T.StructType.fromDDL(
     >>,
     shard_date string
     """
-)
 
 # What makes a raw event physically unique. The first four columns alone are not enough:
 # the export puts several events into one bundle and microsecond.

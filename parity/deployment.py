@@ -10,9 +10,9 @@ from trailweave import configure
 from trailweave.config import EngineConfig
 from trailweave.plans import first_visit, sessions, staging
 from trailweave.plans.pipeline import MARTS, Warehouse
-from trailweave.session import shared_root
+from trailweave.session import shared_root, size_shuffles
 from trailweave.sources import adapter
-from trailweave.sources.export import read_shards, write_shards
+from trailweave.sources.export import read_shards
 
 _deployments: dict[tuple[str, str], Deployment] = {}
 
@@ -39,29 +39,34 @@ class Deployment:
 
     @cached_property
     def raw(self) -> DataFrame:
+        size_shuffles(*[self.spark.read.parquet(f"{self.sf_dir}/{t}.parquet") for t in ("events", "lineitem")])
         return adapter.raw_events(self.spark, self.sf_dir)
 
-    def _shards(self, family: str, events: DataFrame) -> DataFrame:
+    @cached_property
+    def _export(self) -> str | None:
         if self.root is None:
-            return events
-        path = f"{self.root}/raw/{family}"
-        write_shards(events, path)
-        return read_shards(self.spark, path)
+            return None
+        adapter.write_export(self.raw, f"{self.root}/raw")
+        return f"{self.root}/raw"
+
+    def _shards(self, family: str) -> DataFrame:
+        if self._export is None:
+            return adapter.family_rows(self.raw, family)
+        return read_shards(self.spark, adapter.family_path(self._export, family))
 
     @cached_property
     def daily(self) -> DataFrame:
-        return self._shards("daily", adapter.daily_events(self.raw))
+        return self._shards("daily")
 
     @cached_property
     def intraday(self) -> DataFrame:
-        return self._shards("intraday", adapter.intraday_events(self.raw))
+        return self._shards("intraday")
 
     @property
     def intraday_path(self) -> str:
-        if self.root is None:
+        if self._export is None:
             raise RuntimeError("the stream needs a shared folder; set spark.checkpoint.dir")
-        _ = self.intraday
-        return f"{self.root}/raw/intraday"
+        return adapter.family_path(self._export, "intraday")
 
     @cached_property
     def warehouse(self) -> Warehouse | None:

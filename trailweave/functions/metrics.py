@@ -66,16 +66,36 @@ def distinct_orders(extra: Column | None = None) -> Column:
     return F.count_distinct(order_id(extra))
 
 
-def bounced_by_flag(engaged: Column | str = "session_engaged") -> Column:
+def flag_bounce(engaged_events: Column) -> Column:
     """1 unless some event of the session was flagged as engaged."""
+    return F.when(engaged_events > 0, F.lit(0)).otherwise(F.lit(1))
+
+
+def conditions_bounce(
+    seconds: Column, pageviews: Column, purchases: Column, custom: Column | None = None
+) -> Column:
+    """1 unless the session ran 10 s, saw two pages, bought, or fired a custom event."""
+    engaged = (seconds >= 10) | (pageviews >= 2) | (purchases > 0)
+    if custom is not None:
+        engaged = engaged | (custom > 0)
+    return F.when(engaged, F.lit(0)).otherwise(F.lit(1))
+
+
+def bounced_by_flag(engaged: Column | str = "session_engaged") -> Column:
+    """``flag_bounce`` as an aggregate over a session's events."""
     engaged = F.col(engaged) if isinstance(engaged, str) else engaged
-    return F.when(F.count_if(engaged == "1") > 0, F.lit(0)).otherwise(F.lit(1))
+    return flag_bounce(F.count_if(engaged == "1"))
+
+
+def seconds_between(start: Column, end: Column) -> Column:
+    """Whole elapsed seconds."""
+    return F.timestamp_diff("SECOND", start, end)
 
 
 def duration_seconds(ts: Column | str = "event_timestamp") -> Column:
-    """Whole seconds between the first and last event of a session."""
+    """Whole seconds between the first and last event of a session, as an aggregate."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.timestamp_diff("SECOND", F.min(ts), F.max(ts))
+    return seconds_between(F.min(ts), F.max(ts))
 
 
 def bounced_by_conditions(
@@ -83,16 +103,14 @@ def bounced_by_conditions(
     name: Column | str = "event_name",
     custom_events: Sequence[str] = (),
 ) -> Column:
-    """1 unless the session ran 10 s, saw two pages, bought, or fired a custom event."""
+    """``conditions_bounce`` as an aggregate over a session's events."""
     name = F.col(name) if isinstance(name, str) else name
-    engaged = (
-        (duration_seconds(ts) >= 10)
-        | (F.count_if(name == "page_view") >= 2)
-        | (F.count_if(name == "purchase") > 0)
+    return conditions_bounce(
+        duration_seconds(ts),
+        F.count_if(name == "page_view"),
+        F.count_if(name == "purchase"),
+        F.count_if(name.isin(*custom_events)) if custom_events else None,
     )
-    if custom_events:
-        engaged = engaged | (F.count_if(name.isin(*custom_events)) > 0)
-    return F.when(engaged, F.lit(0)).otherwise(F.lit(1))
 
 
 def bounce_rate_pct(flag: Column | str, sessions: Column, decimals: int = 2) -> Column:

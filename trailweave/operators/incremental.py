@@ -16,19 +16,27 @@ def since(df: DataFrame, column: str, boundary: date | None) -> DataFrame:
 
 
 def cluster_write(
-    df: DataFrame, path: str, partition: str, cluster: Sequence[str] = (), overwrite_all: bool = True
+    df: DataFrame,
+    path: str,
+    partition: str,
+    cluster: Sequence[str] = (),
+    overwrite_all: bool = True,
+    rebalance: bool = True,
 ) -> None:
     """Write one folder per ``partition`` value, rows sorted on ``cluster`` within each file.
 
     Replaces the whole table, or only the partitions that ``df`` holds.
 
     REBALANCE rather than a repartition on the partition column: a day holding a third of
-    all rows is split over many tasks, and small days do not become many small files. The
-    sort gives readers tight row-group ranges to skip on.
+    all rows is split over many tasks, and small days do not become many small files. Rows
+    that already arrive by partition value, as scans of date-sharded files do, are written
+    from where they are with ``rebalance=False``: no shuffle. The sort lets readers skip on
+    page statistics either way.
     """
+    if rebalance:
+        df = df.hint("rebalance", F.col(partition))
     (
-        df.hint("rebalance", F.col(partition))
-        .sortWithinPartitions(partition, *cluster)
+        df.sortWithinPartitions(partition, *cluster)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if overwrite_all else "dynamic")
         .partitionBy(partition)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import EngineConfig
 from ..operators.incremental import cluster_write, latest_snapshot, write_snapshot, write_window
+from ..session import size_shuffles
 from ..sources.export import read_shards
 from . import depth, first_visit, monthly, pages, product, sessions, staging, weekly
 
@@ -108,12 +109,18 @@ class Warehouse:
 
     def refresh_silver(self, daily: DataFrame, intraday: DataFrame, incremental: bool = False) -> None:
         cfg, boundary = self.cfg, self.cfg.lookback_date
+        if incremental:
+            size_shuffles(daily.where(F.col("shard_date") >= cfg.lookback_suffix))
+        else:
+            size_shuffles(daily)
         self._commit(
             self.STAGED,
             staging.staged_events(daily, intraday, cfg, incremental),
             "event_date",
             ("event_name", "user_pseudo_id"),
             boundary if incremental else None,
+            # a full build leaves the rows in their scan tasks, each of which reads one date
+            rebalance=incremental,
         )
         self._commit(
             self.SESSIONS,
@@ -145,10 +152,16 @@ class Warehouse:
         return months.agg(F.max("period_start_date")).first()[0]
 
     def _commit(
-        self, table: str, df: DataFrame, partition: str, cluster: tuple[str, ...], boundary: date | None
+        self,
+        table: str,
+        df: DataFrame,
+        partition: str,
+        cluster: tuple[str, ...],
+        boundary: date | None,
+        rebalance: bool = True,
     ) -> None:
         if boundary is None:
-            cluster_write(df, self.path(table), partition, cluster, overwrite_all=True)
+            cluster_write(df, self.path(table), partition, cluster, rebalance=rebalance)
         else:
             write_window(self.spark, df, self.path(table), partition, boundary, cluster)
 

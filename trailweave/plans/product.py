@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import EngineConfig
@@ -22,21 +22,25 @@ _ITEM_COUNTS = dict(product_views="view_item", add_to_wishlist="add_to_wishlist"
 def period_spine(days: DataFrame, cfg: EngineConfig, boundary: date | None = None) -> DataFrame:
     """Reporting periods the event dates call for: each closed month, and the running month's weeks."""
     day = F.col("event_date")
-    running = F.lit(cfg.month_floor(cfg.as_of_date))
-    months = days.where(month_start(day) < running).select(
-        month_start(day).alias("period_start_date"),
-        F.last_day(day).alias("period_end_date"),
-        F.date_format(day, "MMM-yyyy").alias("period_label"),
-        F.lit("month").alias("period_type"),
-    )
+    month, running = month_start(day), F.lit(cfg.month_floor(cfg.as_of_date))
     first, last = week_start(day, cfg.week_start_day), week_end(day, cfg.week_start_day)
-    weeks = days.where(month_start(day) == running).select(
-        first.alias("period_start_date"),
-        last.alias("period_end_date"),
-        F.concat(F.date_format(first, "dd MMM"), F.lit(" - "), F.date_format(last, "dd MMM")).alias("period_label"),
-        F.lit("week").alias("period_type"),
+
+    def period(start: Column, end: Column, label: Column, kind: str) -> Column:
+        return F.struct(
+            start.alias("period_start_date"),
+            end.alias("period_end_date"),
+            label.alias("period_label"),
+            F.lit(kind).alias("period_type"),
+        )
+
+    week_label = F.concat(F.date_format(first, "dd MMM"), F.lit(" - "), F.date_format(last, "dd MMM"))
+    periods = days.select(
+        F.when(month < running, period(month, F.last_day(day), F.date_format(day, "MMM-yyyy"), "month"))
+        .when(month == running, period(first, last, week_label, "week"))
+        .alias("period")
     )
-    return since(months.distinct().unionByName(weeks.distinct()), "period_start_date", boundary)
+    spine = periods.where(F.col("period").isNotNull()).select("period.*").distinct()
+    return since(spine, "period_start_date", boundary)
 
 
 def product_performance(
@@ -65,15 +69,18 @@ def product_performance(
     keys = [*period, *dims, IS_TOTAL]
 
     def item_rows(source: DataFrame, *fields: str) -> DataFrame:
-        opened = source.withColumn("item", F.explode("items")).select(
+        # zipping just the fields in use keeps the others out of the scan, which opening the
+        # items as a whole would not
+        needed = ("item_category", "item_category_3", *fields)
+        opened = source.select(
             "event_date",
             "event_name",
             *SESSION_ID,
             "transaction_id",
-            F.concat("item.item_category", F.lit(" - "), "item.item_category_3").alias("product_category"),
-            *[F.col(f"item.{f}").alias(f) for f in fields],
+            F.inline(F.arrays_zip(*[F.col(f"items.{f}") for f in needed])).alias(*needed),
         )
-        return opened.join(F.broadcast(period_days), "event_date")
+        category = F.concat("item_category", F.lit(" - "), "item_category_3")
+        return opened.withColumn("product_category", category).join(F.broadcast(period_days), "event_date")
 
     identified = F.col("user_pseudo_id").isNotNull() & F.col("ga_session_id").isNotNull()
     touched = (

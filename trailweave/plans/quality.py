@@ -151,14 +151,13 @@ def event_volume_collapse(staged: DataFrame, cfg: EngineConfig) -> DataFrame:
     )
     recent = volume.orderBy(F.col("event_date").desc()).limit(3)
     return (
-        recent.crossJoin(F.broadcast(baseline))
-        .agg(
+        recent.agg(
             F.min("event_date").alias("collapse_from"),
             F.max("event_date").alias("collapse_to"),
             F.max("events").alias("busiest_recent_day"),
-            F.any_value("median_events").alias("median_events"),
             F.count("*").alias("days"),
         )
+        .withColumn("median_events", baseline.scalar())
         .where(
             (F.col("days") == 3)
             & (F.col("busiest_recent_day") < F.col("median_events") * cfg.min_volume_vs_median_pct / 100)

@@ -70,9 +70,30 @@ COLUMNS = (
 
 SESSION_ID = ["user_pseudo_id", "ga_session_id"]
 
+# session-scoped dimensions, with the placeholder that any known value beats
+_PLACEHOLDERS = {
+    "device_category": None,
+    "device_class": UNKNOWN,
+    "channel_group": "Unassigned",
+    "manual_source": None,
+    "manual_medium": None,
+    "geo_city": UNKNOWN,
+    "geo_region": UNKNOWN,
+    "geo_country": UNKNOWN,
+}
+_COUNTERS = {
+    "pageviews": "page_view",
+    "product_views": "view_item",
+    "cart_additions": "add_to_cart",
+    "wishlist_additions": "add_to_wishlist",
+    "purchase_events": "purchase",
+}
 
-def known_max(column: str, placeholder: str) -> Column:
+
+def known_max(column: str, placeholder: str | None) -> Column:
     """Largest value, a known one always beating the placeholder."""
+    if placeholder is None:
+        return F.max(column).alias(column)
     known = F.max(F.nullif(F.col(column), F.lit(placeholder)))
     return F.coalesce(known, F.lit(placeholder)).alias(column)
 
@@ -86,39 +107,52 @@ def sessions(
     seen whole, and only sessions starting inside the window come out. ``stored`` is the
     present session table; a session it already holds with an earlier start, one that paused
     over the whole extra day, is not emitted a second time.
+
+    Built in two steps. The events are first combined per session and dimension values:
+    those hardly vary within a session, and with the texts in the key all aggregates are
+    numbers, which hash aggregation can hold. The maximum of a text needs sorting, and is
+    left to the few combined rows.
     """
     boundary = cfg.lookback_date if incremental else None
     scan_from = boundary - timedelta(days=1) if boundary else None
-    built = (
+    combined = (
         since(staged, "event_date", scan_from)
         .where(F.col("ga_session_id").isNotNull())
         # the session key is a function of these two, so it need not widen the grouping key
-        .groupBy(*SESSION_ID)
+        .groupBy(*SESSION_ID, *_PLACEHOLDERS)
         .agg(
             F.max("ga_session_number").alias("session_number"),
             F.min("event_date").alias("session_date"),
             F.min("event_timestamp").alias("session_start"),
             F.max("event_timestamp").alias("session_end"),
-            m.duration_seconds().alias("duration_seconds"),
-            m.bounced_by_flag().alias("is_bounced_flag"),
-            m.bounced_by_conditions().alias("is_bounced_3cond"),
+            F.count_if(F.col("session_engaged") == "1").alias("engaged_events"),
             F.count("*").alias("events"),
-            F.count_if(m.is_event("page_view")).alias("pageviews"),
-            F.count_if(m.is_event("view_item")).alias("product_views"),
-            F.count_if(m.is_event("add_to_cart")).alias("cart_additions"),
-            F.count_if(m.is_event("add_to_wishlist")).alias("wishlist_additions"),
-            F.count_if(m.is_event("purchase")).alias("purchase_events"),
+            *[F.count_if(m.is_event(event)).alias(name) for name, event in _COUNTERS.items()],
             F.sum(F.coalesce("engagement_time_msec", F.lit(0))).alias("engagement_time_msec"),
-            F.max("device_category").alias("device_category"),
-            known_max("device_class", UNKNOWN),
-            known_max("channel_group", "Unassigned"),
-            F.max("manual_source").alias("manual_source"),
-            F.max("manual_medium").alias("manual_medium"),
-            known_max("geo_city", UNKNOWN),
-            known_max("geo_region", UNKNOWN),
-            known_max("geo_country", UNKNOWN),
         )
-        .withColumn("session_key", m.session_key())
+    )
+    sums = ("engaged_events", "events", *_COUNTERS, "engagement_time_msec")
+    built = (
+        combined.groupBy(*SESSION_ID)
+        .agg(
+            F.max("session_number").alias("session_number"),
+            F.min("session_date").alias("session_date"),
+            F.min("session_start").alias("session_start"),
+            F.max("session_end").alias("session_end"),
+            *[F.sum(c).alias(c) for c in sums],
+            *[known_max(c, placeholder) for c, placeholder in _PLACEHOLDERS.items()],
+        )
+        .withColumns(
+            {
+                "session_key": m.session_key(),
+                "duration_seconds": m.seconds_between(F.col("session_start"), F.col("session_end")),
+                "is_bounced_flag": m.flag_bounce(F.col("engaged_events")),
+            }
+        )
+        .withColumn(
+            "is_bounced_3cond",
+            m.conditions_bounce(F.col("duration_seconds"), F.col("pageviews"), F.col("purchase_events")),
+        )
     )
     fresh = since(built, "session_date", boundary)
     if boundary and stored is not None:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..config import EngineConfig
 from ..functions import nested as n
 from ..functions import text as t
-from ..operators.incremental import since
 from ..sources.export import uncovered_intraday
 from ..sources.schema import PHYSICAL_KEY
 
@@ -142,17 +141,13 @@ def staged_events(
     daily: DataFrame, intraday: DataFrame, cfg: EngineConfig, incremental: bool = False
 ) -> DataFrame:
     """One row per event: the daily shard of a date where it landed, else its intraday shard."""
-    boundary = None
     if incremental:
-        boundary = cfg.lookback_date
-        daily = daily.where(F.col("shard_date") >= cfg.lookback_suffix)
-        intraday = intraday.where(F.col("shard_date") >= cfg.lookback_suffix)
-    merged = (
-        typed_events(daily)
-        .withColumn("shard_type", F.lit("daily"))
-        .unionByName(
-            without_replays(uncovered_intraday(daily, intraday)).withColumn("shard_type", F.lit("intraday"))
-        )
-    )
-    # a late hit can sit in a fresh shard yet belong to a date before the window
-    return since(merged, "event_date", boundary).select(*COLUMNS)
+        daily, intraday = (df.where(F.col("shard_date") >= cfg.lookback_suffix) for df in (daily, intraday))
+    provisional = uncovered_intraday(daily, intraday)
+    if incremental:
+        # a late hit can sit in a fresh shard yet belong to a date before the window; compared
+        # as text, yyyyMMdd like the suffix, the filter reaches the Parquet scan
+        daily, provisional = (df.where(F.col("event_date") >= cfg.lookback_suffix) for df in (daily, provisional))
+    final = typed_events(daily).withColumn("shard_type", F.lit("daily"))
+    filler = without_replays(provisional).withColumn("shard_type", F.lit("intraday"))
+    return final.unionByName(filler).select(*COLUMNS)

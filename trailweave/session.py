@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _RUNTIME = {
     # calendar logic and micros-to-timestamp conversion assume UTC
@@ -17,8 +17,15 @@ _RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
+    # the feed's keys are kept on disk, not on the heap
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
+SHUFFLE_PARTITION_BYTES = 128 << 20
+MAX_SHUFFLE_PARTITIONS = 20_000
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings; cluster sizing (partitions, memory) is left to the submitter."""
@@ -27,6 +34,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(*inputs: DataFrame) -> int:
+    """Start shuffles with enough partitions for the inputs; adaptive execution merges small ones.
+
+    Only ever raises the count the submitter set. Sizes are the planner's estimates, taken
+    after partition pruning.
+    """
+    spark = inputs[0].sparkSession
+    total = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
+    wanted = min(total // SHUFFLE_PARTITION_BYTES, MAX_SHUFFLE_PARTITIONS)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", wanted)
+    return max(wanted, current)
+
+
 def shared_root(spark: SparkSession) -> str | None:
     """A fresh folder for intermediate tables, under the checkpoint folder the session names.
 

@@ -127,9 +127,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .withColumn("sid", F.expr(f"(t_us div 1000000 - 21600) div {DAY_SECONDS}"))
         .withColumns({"c": (uid + sid) % 9, "event_name": _event_name(F.col("event_type"), k)})
-        # one row, so this cross join only adds a column
-        .crossJoin(F.broadcast(page_count))
-        .withColumn("page_id", eid % F.col("pages"))
+        .withColumn("page_id", eid % page_count.scalar())
         .join(pages, "page_id", "left")
         .join(places, "user_id", "left")
         .join(order_items(spark, sf_dir).withColumnRenamed("l_orderkey", "event_id"), "event_id", "left")
@@ -197,12 +195,38 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def daily_events(raw: DataFrame) -> DataFrame:
-    return raw.where(~F.col("shard_date").isin(*DAILY_MISSING))
+def export_rows(raw: DataFrame) -> DataFrame:
+    """Each event once per shard it is exported in, tagged with the shard ``family``.
+
+    Intraday shards hold every tenth of their events twice, as a replay would.
+    """
+    day = F.col("shard_date")
+    in_daily, in_intraday = ~day.isin(*DAILY_MISSING), day.isin(*INTRADAY_PRESENT)
+    families = F.array_compact(
+        F.array(
+            F.when(in_daily, F.lit("daily")),
+            F.when(in_intraday, F.lit("intraday")),
+            F.when(in_intraday & (F.col("batch_ordering_id") % 10 == 0), F.lit("intraday")),
+        )
+    )
+    return raw.withColumn("family", F.explode(families))
+
+
+def family_rows(raw: DataFrame, family: str) -> DataFrame:
+    return export_rows(raw).where(F.col("family") == family).drop("family")
+
+
+def write_export(raw: DataFrame, root: str) -> None:
+    """Both shard families in one pass over the events; read ``family_path`` of either back."""
+    (
+        export_rows(raw)
+        .hint("rebalance", "family", "shard_date")
+        .sortWithinPartitions("family", "shard_date", "event_timestamp")
+        .write.mode("overwrite")
+        .partitionBy("family", "shard_date")
+        .parquet(root)
+    )
 
 
-def intraday_events(raw: DataFrame) -> DataFrame:
-    """Intraday shards, in which every tenth event is replayed."""
-    shard = raw.where(F.col("shard_date").isin(*INTRADAY_PRESENT))
-    copies = F.when(F.col("batch_ordering_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return shard.withColumn("replay", F.explode(copies)).drop("replay")
+def family_path(root: str, family: str) -> str:
+    return f"{root}/family={family}"

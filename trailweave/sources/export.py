@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.incremental import cluster_write
 from .schema import RAW_EVENT
 
 
@@ -19,10 +18,6 @@ def read_shards(spark: SparkSession, root: str, since: str | None = None) -> Dat
     return shards if since is None else shards.where(F.col("shard_date") >= since)
 
 
-def write_shards(events: DataFrame, root: str) -> None:
-    cluster_write(events, root, "shard_date", ["event_timestamp"])
-
-
 def shard_dates(shards: DataFrame) -> DataFrame:
     """The dates that hold rows. Only the partition column is read: one row per day comes out."""
     return shards.groupBy("shard_date").agg(F.count("*").alias("shard_rows"))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -54,27 +54,40 @@ def write_window(
 ) -> None:
     """Commit ``fresh`` as the new content of the partitions from ``boundary`` on.
 
-    Dynamic overwrite replaces the partitions that ``fresh`` holds; partitions of the window
-    that it no longer holds are dropped afterwards. Rerunning after a failure at any point
-    gives the same table. The dates collected on the driver are those of the window only.
+    Dynamic overwrite replaces the partitions that ``fresh`` holds. Partitions of the window
+    still made of the same files afterwards were not among them, and are dropped. Rerunning
+    after a failure at any point gives the same table. The driver lists the window only.
     """
-    written = Observation()
-    cluster_write(
-        fresh.observe(written, F.collect_set(F.col(column).cast("string")).alias("days")),
-        path,
-        column,
-        cluster,
-        overwrite_all=False,
-    )
-    kept = set(written.get["days"] or ())
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    before = _window_files(spark, path, column, boundary)
+    cluster_write(fresh, path, column, cluster, overwrite_all=False)
+    fs, _ = _file_system(spark, path)
+    after = _window_files(spark, path, column, boundary)
+    for folder, files in before.items():
+        if after.get(folder) == files:
+            fs.delete(_hadoop_path(spark, folder), True)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    root = _hadoop_path(spark, path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root
+
+
+def _window_files(spark: SparkSession, path: str, column: str, boundary: date) -> dict[str, frozenset[str]]:
+    """Files of each partition folder of the window."""
+    fs, root = _file_system(spark, path)
+    if not fs.exists(root):
+        return {}
+    window = {}
     for status in fs.listStatus(root):
         name = status.getPath().getName()
-        day = name.removeprefix(f"{column}=")
-        if day != name and day >= boundary.isoformat() and day not in kept:
-            fs.delete(status.getPath(), True)
+        if name.startswith(f"{column}=") and name.removeprefix(f"{column}=") >= boundary.isoformat():
+            files = fs.listStatus(status.getPath())
+            window[status.getPath().toString()] = frozenset(f.getPath().getName() for f in files)
+    return window
 
 
 def merge_by_key(existing: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -97,15 +110,13 @@ def write_snapshot(df: DataFrame, path: str, version: str, cluster: Sequence[str
 
 def latest_snapshot(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
     """The newest completely written version, or None when there is none."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, root = _file_system(spark, path)
     if not fs.exists(root):
         return None
     done = sorted(
-        s.getPath().toString()
-        for s in fs.listStatus(root)
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
+        folder
+        for folder in (s.getPath().toString() for s in fs.listStatus(root))
+        if fs.exists(_hadoop_path(spark, f"{folder}/_SUCCESS"))
     )
     if not done:
         return None

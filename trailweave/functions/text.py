@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # The characters after which a new word starts, as a regex character class body.
 WORD_BREAKS = r"\s\[\](){}/|\\<>!?@\"^#$&~_,.:;*%+\-"
 
+_ADDED = "\x01 "
+
 # Placeholder texts.
 UNKNOWN = "Unknown"
 NOT_SET = "(not set)"
@@ -27,12 +29,11 @@ def strip(c: Column) -> Column:
 def init_cap(c: Column) -> Column:
     """Capitalise each word, words ending at punctuation as well as at spaces.
 
-    Spark's own ``initcap`` only breaks at spaces, so ``order-confirmation`` would keep its
-    second word in lower case.
+    Spark's own ``initcap`` only breaks at spaces, so it gets one after every break and the
+    added ones are taken out again; a control character tells them from the text's own.
     """
-    runs = F.regexp_extract_all(F.lower(c), F.lit(f"[^{WORD_BREAKS}]+|[{WORD_BREAKS}]+"), F.lit(0))
-    capped = F.transform(runs, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), w.substr(F.lit(2), F.length(w))))
-    return F.array_join(capped, "")
+    spaced = F.regexp_replace(c, f"([{WORD_BREAKS}])", "$1" + _ADDED)
+    return F.replace(F.initcap(spaced), F.lit(_ADDED), F.lit(""))
 
 
 def page_path(location: Column) -> Column:

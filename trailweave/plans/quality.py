@@ -166,6 +166,22 @@ def event_volume_collapse(staged: DataFrame, cfg: EngineConfig) -> DataFrame:
     )
 
 
+def all_checks(
+    spark: SparkSession, daily: DataFrame, intraday: DataFrame, staged: DataFrame, cfg: EngineConfig
+) -> dict[str, DataFrame]:
+    """Every stand-alone check by name."""
+    return {
+        "export_freshness": export_freshness(daily, intraday, cfg),
+        "export_continuity": export_continuity(spark, daily, intraday, cfg),
+        "staging_reconciles_raw": staging_reconciles_raw(daily, staged, cfg),
+        "user_id_completeness": user_id_completeness(staged, cfg),
+        "transaction_id_completeness": transaction_id_completeness(staged, cfg),
+        "transaction_revenue_consistency": transaction_revenue_consistency(staged, cfg),
+        "session_engagement_coverage": session_engagement_coverage(staged, cfg),
+        "event_volume_collapse": event_volume_collapse(staged, cfg),
+    }
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values held by more than one row."""
     return df.groupBy(*keys).agg(F.count("*").alias("row_count")).where(F.col("row_count") > 1)

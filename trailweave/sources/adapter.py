@@ -70,37 +70,45 @@ def _event_name(kind: Column, k: Column) -> Column:
     )
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order: its lines as an item array, at most LINE_SLOTS long."""
+def order_items(spark: SparkSession, sf_dir: str, wanted: DataFrame) -> DataFrame:
+    """One row per wanted order (``event_id``): its lines as an item array, at most LINE_SLOTS long.
+
+    Lines are consolidated before they meet the wanted orders, so that an order holding a
+    large share of all lines has shrunk to a few rows by then; flat values are nested, and
+    the items are formed from them afterwards.
+    """
     lines = (
         spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-        .groupBy("l_orderkey", (F.col("l_linenumber") % LINE_SLOTS).alias("line"))
+        .groupBy(F.col("l_orderkey").alias("event_id"), (F.col("l_linenumber") % LINE_SLOTS).alias("line"))
         .agg(
             F.max("l_partkey").alias("p_partkey"),
             F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("bigint").alias("quantity"),
             F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("revenue"),
         )
+        .join(wanted.select("event_id"), "event_id", "left_semi")
     )
     parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_type", "p_brand")
-    item = F.struct(
-        "line",
-        F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("item_id"),
-        F.col("p_name").alias("item_name"),
-        F.when(F.col("line") == 5, F.lit("")).otherwise(F.col("p_type")).alias("item_category"),
-        F.col("p_brand").alias("item_category3"),
-        "quantity",
-        F.col("revenue").alias("item_revenue"),
-        F.col("revenue").alias("item_revenue_in_usd"),
-        F.when(F.col("line") % 2 == 1, F.concat(F.lit("/home/"), "p_type", F.lit("/"), "p_brand")).alias(
-            "item_list_name"
-        ),
-        F.array(_param("line", text=F.concat(F.lit("L"), F.col("line").cast("string")))).alias("item_params"),
-    )
+    flat = F.struct("line", "p_partkey", "p_name", "p_type", "p_brand", "quantity", "revenue")
+
+    def item(x: Column) -> Column:
+        line, kind, brand = x["line"], x["p_type"], x["p_brand"]
+        return F.struct(
+            F.concat(F.lit("p"), x["p_partkey"].cast("string")).alias("item_id"),
+            x["p_name"].alias("item_name"),
+            F.when(line == 5, F.lit("")).otherwise(kind).alias("item_category"),
+            brand.alias("item_category3"),
+            x["quantity"].alias("quantity"),
+            x["revenue"].alias("item_revenue"),
+            x["revenue"].alias("item_revenue_in_usd"),
+            F.when(line % 2 == 1, F.concat(F.lit("/home/"), kind, F.lit("/"), brand)).alias("item_list_name"),
+            F.array(_param("line", text=F.concat(F.lit("L"), line.cast("string")))).alias("item_params"),
+        )
+
     return (
         lines.join(parts, "p_partkey", "left")
-        .groupBy("l_orderkey")
-        .agg(F.array_sort(F.collect_list(item)).alias("lines"))
-        .select("l_orderkey", F.transform("lines", lambda x: x.dropFields("line")).alias("order_items"))
+        .groupBy("event_id")
+        .agg(F.array_sort(F.collect_list(flat)).alias("lines"))
+        .select("event_id", F.transform("lines", item).alias("items"))
     )
 
 
@@ -117,7 +125,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     eid, uid, k, sid, c = (F.col(n) for n in ("event_id", "user_id", "k", "sid", "c"))
     us = F.col("t_us")
-    base = (
+    events = (
         spark.read.parquet(f"{sf_dir}/events.parquet")
         .withColumns(
             {
@@ -128,9 +136,12 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("sid", F.expr(f"(t_us div 1000000 - 21600) div {DAY_SECONDS}"))
         .withColumns({"c": (uid + sid) % 9, "event_name": _event_name(F.col("event_type"), k)})
         .withColumn("page_id", eid % page_count.scalar())
-        .join(pages, "page_id", "left")
+    )
+    commerce = events.where(F.col("event_name").isin(*COMMERCE))
+    base = (
+        events.join(pages, "page_id", "left")
         .join(places, "user_id", "left")
-        .join(order_items(spark, sf_dir).withColumnRenamed("l_orderkey", "event_id"), "event_id", "left")
+        .join(order_items(spark, sf_dir, commerce), "event_id", "left")
     )
     day = F.date_format(F.timestamp_micros(us), "yyyyMMdd")
     location = F.when(eid % 11 == 0, F.lit(None)).when(eid % 23 == 0, F.lit("not-a-url")).otherwise(F.col("url"))
@@ -190,7 +201,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                 (k % 5 + 1).cast("bigint").alias("total_item_quantity"),
             ),
         ).alias("ecommerce"),
-        F.when(F.col("event_name").isin(*COMMERCE), F.col("order_items")).alias("items"),
+        F.when(F.col("event_name").isin(*COMMERCE), F.col("items")).alias("items"),
         day.alias("shard_date"),
     )
 

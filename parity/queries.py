@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailweave.functions import calendar, channels, metrics, nested, text
 from trailweave.operators.incremental import merge_by_key, replace_window
-from trailweave.plans import first_visit, monthly, pages, product, quality, sessions, staging
+from trailweave.plans import first_visit, pages, quality, sessions, staging
 from trailweave.plans.pipeline import MARTS
 from trailweave.plans.rules import RULES
 from trailweave.sources.export import uncovered_intraday

@@ -68,3 +68,17 @@ def numbered(df: DataFrame, *order: Column, name: str) -> DataFrame:
         part, F.coalesce(F.sum(name).over(before), F.lit(0)).alias(name)
     )
     return ranged.join(F.broadcast(offsets), part).withColumn(name, F.col(name) + F.col(row)).drop(part, row)
+
+
+def keep_one(docs: DataFrame, marks: DataFrame, *digests: str) -> DataFrame:
+    """Rows of `docs` whose (doc_id, *digests) is in `marks`; of rows that agree in all of them one.
+
+    A null doc_id equals a null one. The rows meet by doc_id, so a group of copies is not gathered.
+    """
+    known, null = fresh("known"), fresh("null")
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumns({known: F.coalesce("doc_id", F.lit(0)), null: F.col("doc_id").isNull()})
+
+    on = [known, null, *digests]
+    return keyed(docs).join(keyed(marks).select(*on), on, "left_semi").dropDuplicates(on).drop(known, null)

@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, lower_ascii, write_table
+from .common import fresh, keep_one, lower_ascii, write_table
 
 BLOCK_BYTES = 4096
 #: Right half of a pair that has none; names are never negative.
@@ -122,12 +122,5 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
 def drop_exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """`docs` without its exact copies, columns unchanged: one row of each text stays, as above."""
     digest = fresh("digest")
-    keys = exact_duplicates(docs, block_bytes).where("kept").select(
-        F.col("doc_id").alias(f"{digest}_id"), F.col("text_sha256").alias(digest)
-    )
-    own = docs.withColumn(digest, F.sha2(lower_ascii(F.col("text")), 256))
-    kept = own.join(keys.withColumnRenamed(digest, f"{digest}_k"), 
-                    (F.col(digest) == F.col(f"{digest}_k")) & F.col("doc_id").eqNullSafe(F.col(f"{digest}_id")),
-                    "left_semi")
-    # rows that repeat a doc_id with the same text
-    return kept.dropDuplicates(["doc_id", digest]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = exact_duplicates(docs, block_bytes).where("kept").withColumnRenamed("text_sha256", digest)
+    return keep_one(docs.withColumn(digest, F.sha2(lower_ascii(F.col("text")), 256)), kept, digest).drop(digest)

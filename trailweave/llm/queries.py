@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, mixing, quality, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,8 +19,27 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and the component of near copies that it belongs to."""
+    found = simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its rule statistics and the forest's verdict."""
+    return quality.quality_rules(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words that the mix takes of it."""
+    return mixing.mix(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_simhash": op3_simhash,
+    "op9_quality": op9_quality,
+    "op10_mix": op10_mix,
 }
 
 # A-Z lower-cased only: translate() in both engines

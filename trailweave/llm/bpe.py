@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 VOCABULARY = "word_bpe_49k.json"
 #: Words that a worker remembers at most; about 60 MB.
 REMEMBERED = 200_000
@@ -129,6 +131,10 @@ def codec(vocabulary: str | None = None) -> Codec:
         return Codec(file.read())
 
 
+def _digest(text: str) -> str:
+    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+
+
 def _shared(df: DataFrame, vocabulary: str | None):
     """The codec on the executors, which need no file: the vocabulary is about 2 MB."""
     return df.sparkSession.sparkContext.broadcast(codec(vocabulary))
@@ -167,15 +173,31 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """
     shared = _shared(docs, vocabulary)
 
-    def digest(text: str) -> str:
-        return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
-
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def trip(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for text in texts:
             ids = shared.value.encode(text)
-            rows.append((len(ids), digest(" ".join(map(str, ids))), digest(shared.value.decode(ids))))
+            rows.append((len(ids), _digest(" ".join(map(str, ids))), _digest(shared.value.decode(ids))))
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", trip("text").alias("trip")).select("doc_id", "trip.*")
+
+
+def tokenized(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """`docs` with ids (array<int>), n_tokens and decoded_sha256, each replacing a column of its name."""
+    shared = _shared(docs, vocabulary)
+
+    @F.pandas_udf("ids array<int>, decoded_sha256 string")
+    def encoded(texts: pd.Series) -> pd.DataFrame:
+        ids = [shared.value.encode(t) for t in texts]
+        return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded_sha256": [_digest(shared.value.decode(i)) for i in ids]})
+
+    name = fresh("encoded")
+    rows = docs.withColumn(name, encoded("text"))
+    added = {
+        "ids": F.col(f"{name}.ids"),
+        "n_tokens": F.size(f"{name}.ids").cast("long"),
+        "decoded_sha256": F.col(f"{name}.decoded_sha256"),
+    }
+    return rows.withColumns(added).drop(name)

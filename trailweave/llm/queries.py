@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, quality, simhash
+from . import bpe, exact_dedup, line_dedup, mixing, quality, simhash, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,12 +19,27 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its lines, those that another document keeps, and what is left."""
+    return line_dedup.line_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and the component of near copies that it belongs to."""
     found = simhash.near_duplicates(_read(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its toxicity, learned from labelled documents that are not held out."""
+    return toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token count and the digests of its ids and of what they decode to."""
+    return bpe.round_trip(_read(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its rule statistics and the forest's verdict."""
     return quality.quality_rules(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
@@ -37,7 +52,10 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_line_dedup": op2_line_dedup,
     "op3_simhash": op3_simhash,
+    "op5_toxicity": op5_toxicity,
+    "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_mix": op10_mix,
 }
@@ -52,4 +70,17 @@ ORACLE_SQL: dict[str, str] = {
                row_number() OVER (PARTITION BY t ORDER BY doc_id DESC) = 1 AS kept, sha256(t) AS text_sha256
         FROM d WINDOW same AS (PARTITION BY t)
     """,
+    "op2_line_dedup": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines
+                   FROM documents),
+        l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+        k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                  '{_UPPER}', '{_LOWER}') AS key FROM l),
+        shared AS (SELECT key, max(doc_id) AS owner FROM k WHERE length(key) >= 40
+                   GROUP BY key HAVING count(DISTINCT r) >= 5),
+        m AS (SELECT k.*, coalesce(doc_id <> owner, false) AS gone FROM k LEFT JOIN shared USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+        FROM m GROUP BY r, doc_id
+    """,
 }

@@ -31,6 +31,15 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a table that is sent to every executor, at most; joins with larger ones shuffle.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def sent_if_small(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """`table`, a written one of a few short columns, to be broadcast if it has `max_rows` at most."""
+    return F.broadcast(table) if table.limit(max_rows + 1).count() <= max_rows else table
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, all other characters as they are; null counts as empty."""
     text = F.coalesce(text, F.lit(""))

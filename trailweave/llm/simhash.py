@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, keep_one, lower_ascii, write_table
+from .common import fresh, keep_one, lower_ascii, sent_if_small, write_table
 
 SHINGLE = 3
 SEED = 42
@@ -78,7 +78,7 @@ def _links(fps: DataFrame, pairwise: int) -> DataFrame:
     keys = _keys(fps)
     key = ["bit", "part"]
     sizes = write_table(keys.groupBy(*key).count().where("count > 1"), "keys")
-    met = write_table(keys.join(sizes, key), "met")
+    met = write_table(keys.join(sent_if_small(sizes), key), "met")
 
     few = met.where(F.col("count") <= pairwise)
     a, b = few.alias("a"), few.alias("b")

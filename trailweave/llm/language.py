@@ -31,10 +31,12 @@ MAX_DOCS = 400
 MAX_WORDS = 20_000
 ROUNDS = 4
 MAX_PIECE = 12
+#: Words that go through the passes together.
+GROUP = 4096
 #: Longer words are scored in stretches of so many characters.
 STRETCH = 40
 #: Words whose scores a worker remembers at most.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 #: Probability of a character that is no piece of its own; share of the uniform distribution in every language's.
 UNKNOWN, SMOOTHING = 1e-7, 1e-3
 
@@ -58,54 +60,58 @@ def public_pieces(vocabulary: str | None = None) -> list[str]:
     return sorted(p for p in pieces if len(p) <= MAX_PIECE and _WORDS.fullmatch(p))
 
 
-@dataclass
-class _Lattice:
-    """All pieces in a list of words, sorted by where they end: word, start, end, piece."""
-
-    n_words: int
-    longest: int
-    word: np.ndarray
-    start: np.ndarray
-    piece: np.ndarray
-    bounds: np.ndarray  # entries that end at position j are bounds[j]:bounds[j + 1]
-    length: np.ndarray
-
-
-def _lattice(words: list[str], number: dict[str, int]) -> _Lattice:
-    unknown = len(number)
-    word, start, end, piece = [], [], [], []
-    for w, text in enumerate(words):
-        n = len(text)
-        for i in range(n):
-            single = number.get(text[i], unknown)
-            word.append(w), start.append(i), end.append(i + 1), piece.append(single)
-            for j in range(i + 2, min(n, i + MAX_PIECE) + 1):
-                found = number.get(text[i:j])
-                if found is not None:
-                    word.append(w), start.append(i), end.append(j), piece.append(found)
-    end = np.array(end, np.int64)
-    order = np.argsort(end, kind="stable")
-    longest = max(map(len, words), default=0)
-    return _Lattice(
-        len(words), longest, np.array(word, np.int64)[order], np.array(start, np.int64)[order],
-        np.array(piece, np.int64)[order], np.searchsorted(end[order], np.arange(longest + 2)),
-        np.fromiter(map(len, words), np.int64, len(words)),
-    )
-
-
-def _add(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    for k in range(rows.shape[1]):
-        into[:, k] += np.bincount(at, rows[:, k], len(into))
-
-
-def _forward(lattice: _Lattice, p: np.ndarray) -> np.ndarray:
+class _Trie:
+    """The pieces as arrays, so that all words of a list are matched against them at once.
+
+    Piece numbers: those of `pieces`, then len(pieces) for an unknown character, then one for no piece.
+    """
+
+    def __init__(self, pieces: list[str]):
+        self.unknown, self.none = len(pieces), len(pieces) + 1
+        letters = sorted({c for p in pieces if len(p) > 1 for c in p})
+        self.letter = np.zeros(0x110000, np.int32)  # 0: in no piece of several characters
+        self.letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.single = np.full(0x110000, self.unknown, np.int32)
+        children: dict[tuple[int, str], int] = {}
+        piece_of = [self.none, self.none]  # node 0 is dead, node 1 the root
+        for number, piece in enumerate(pieces):
+            node = 1
+            for c in piece:
+                if (node, c) not in children:
+                    children[node, c] = len(piece_of)
+                    piece_of.append(self.none)
+                node = children[node, c]
+            piece_of[node] = number
+            if len(piece) == 1:
+                self.single[ord(piece)] = number
+        self.piece_of = np.array(piece_of, np.int32)
+        self.child = np.zeros((len(piece_of), len(letters) + 1), np.int32)
+        for (node, c), after in children.items():
+            if self.letter[ord(c)]:
+                self.child[node, self.letter[ord(c)]] = after
+
+    def spans(self, words: list[str]):
+        """For each start and length of a piece: (start, length, piece number of every word)."""
+        longest = max(map(len, words))
+        padded = "".join([w.ljust(longest, "\0") for w in words]).encode("utf-32-le", "surrogatepass")
+        codes = np.frombuffer(padded, np.uint32).reshape(len(words), longest).T
+        letter, single = self.letter[codes], self.single[codes]
+        for i in range(longest):
+            yield i, 1, single[i]
+            node = self.child[1, letter[i]]
+            for k in range(2, min(MAX_PIECE, longest - i) + 1):
+                node = self.child[node, letter[i + k - 1]]
+                if not node.any():
+                    break
+                yield i, k, self.piece_of[node]
+
+
+def _forward(spans, p: np.ndarray, n_words: int, longest: int) -> np.ndarray:
     """alpha[position, word, language]: summed probability of all segmentations of the beginnings."""
-    alpha = np.zeros((lattice.longest + 1, lattice.n_words, p.shape[1]))
+    alpha = np.zeros((longest + 1, n_words, p.shape[1]))
     alpha[0] = 1
-    for j in range(1, lattice.longest + 1):
-        part = slice(lattice.bounds[j], lattice.bounds[j + 1])
-        w = lattice.word[part]
-        _add(alpha[j], w, alpha[lattice.start[part], w] * p[lattice.piece[part]])
+    for i, k, piece in spans:
+        alpha[i + k] += alpha[i] * p[piece]
     return alpha
 
 
@@ -113,13 +119,13 @@ def _forward(lattice: _Lattice, p: np.ndarray) -> np.ndarray:
 class Model:
     languages: list[str]
     pieces: list[str]
-    p: np.ndarray  # of piece (the last: unknown), language
-    number: dict[str, int] = field(init=False, repr=False)
-    known: dict[str, np.ndarray] = field(init=False, repr=False)
+    p: np.ndarray  # of piece, language; the last two rows: unknown character, no piece
+    trie: _Trie = field(init=False, repr=False)
 
     def __post_init__(self):
-        self.number = {piece: k for k, piece in enumerate(self.pieces)}
-        self.known = {}
+        self.trie = _Trie(self.pieces)
+        self.known: dict[str, int] = {}
+        self.scores = np.zeros((0, len(self.languages)))
 
     def __reduce__(self):
         return Model, (self.languages, self.pieces, self.p)
@@ -128,11 +134,12 @@ class Model:
         """Logarithms of the words' probabilities, by language."""
         out = np.empty((len(words), len(self.languages)))
         by_length = sorted(range(len(words)), key=lambda k: len(words[k]))
-        for at in range(0, len(words), 4096):  # words of like length together, so that few cells stay empty
-            some = by_length[at : at + 4096]
-            lattice = _lattice([words[k] for k in some], self.number)
-            alpha = _forward(lattice, self.p)
-            out[some] = np.log(alpha[lattice.length, np.arange(len(some))] + 1e-300)
+        for at in range(0, len(words), GROUP):  # words of like length together, so that few cells stay empty
+            some = by_length[at : at + GROUP]
+            group = [words[k] for k in some]
+            length = np.fromiter(map(len, group), np.int64, len(group))
+            alpha = _forward(self.trie.spans(group), self.p, len(group), int(length.max()))
+            out[some] = np.log(alpha[length, np.arange(len(group))] + 1e-300)
         return out
 
     def text_scores(self, texts: list[str | None]) -> np.ndarray:
@@ -140,49 +147,46 @@ class Model:
         counted = [Counter(words_of(t)) for t in texts]
         new = list({w for c in counted for w in c if w not in self.known})
         if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
+            self.known, self.scores = {}, self.scores[:0]
             new = list({w for c in counted for w in c})
-        self.known.update(zip(new, self.word_scores(new)))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.scores = np.concatenate([self.scores, self.word_scores(new)])
         out = np.zeros((len(texts), len(self.languages)))
         for k, c in enumerate(counted):
             if c:
-                out[k] = np.fromiter(c.values(), np.float64, len(c)) @ np.array([self.known[w] for w in c])
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+                rows = np.fromiter(map(self.known.__getitem__, c), np.int64, len(c))
+                out[k] = np.fromiter(c.values(), np.float64, len(c)) @ self.scores[rows]
         return out
 
 
 def fit_pieces(counts: dict[str, dict[str, int]], pieces: list[str], rounds: int = ROUNDS) -> Model:
     """Expectation maximisation over all segmentations of the counted words; counts[language][word]."""
     languages = sorted(counts)
-    words = sorted({w for c in counts.values() for w in c})
-    model = Model(languages, pieces, np.zeros((0, 0)))
+    words = sorted({w for c in counts.values() for w in c}, key=lambda w: (len(w), w))
     n, k = len(pieces), len(languages)
-    uniform = np.append(np.full(n, (1 - UNKNOWN) / max(n, 1)), UNKNOWN)[:, None]
+    uniform = np.concatenate([np.full(n, (1 - UNKNOWN) / max(n, 1)), [UNKNOWN, 0.0]])[:, None]
     p = np.repeat(uniform, k, axis=1)
+    trie = _Trie(pieces)
     weight = np.array([[counts[c].get(w, 0) for c in languages] for w in words], float).reshape(-1, k)
-    groups = [words[i : i + 4096] for i in range(0, len(words), 4096)]
-    lattices = [_lattice(g, model.number) for g in groups]
     for _ in range(rounds):
         expected = np.zeros_like(p)
-        for g, lattice in enumerate(lattices):
-            alpha = _forward(lattice, p)
-            at = np.arange(lattice.n_words)
-            whole = np.maximum(alpha[lattice.length, at], 1e-300)
+        for first in range(0, len(words), GROUP):
+            group = words[first : first + GROUP]
+            spans = list(trie.spans(group))
+            length, at = np.fromiter(map(len, group), np.int64, len(group)), np.arange(len(group))
+            alpha = _forward(spans, p, len(group), int(length.max()))
             beta = np.zeros_like(alpha)
-            beta[lattice.length, at] = weight[g * 4096 : g * 4096 + lattice.n_words] / whole
-            for j in range(lattice.longest, 0, -1):
-                part = slice(lattice.bounds[j], lattice.bounds[j + 1])
-                w, s, q = lattice.word[part], lattice.start[part], lattice.piece[part]
-                through = beta[j, w] * p[q]
-                _add(expected, q, through * alpha[s, w])
-                for step in range(1, MAX_PIECE + 1):  # pieces of one length at a time: each start once a word
-                    own = s == j - step
-                    beta[j - step, w[own]] += through[own]
-        expected[n] = 0
+            beta[length, at] = weight[first : first + GROUP] / np.maximum(alpha[length, at], 1e-300)
+            for i, size, piece in reversed(spans):
+                through = beta[i + size] * p[piece]
+                # words that end here have their own value, and pieces beyond their end none
+                beta[i] += through * (i < length)[:, None]
+                for c in range(k):
+                    expected[:, c] += np.bincount(piece, through[:, c] * alpha[i, :, c], n + 2)
+        expected[n:] = 0
         share = expected / np.maximum(expected.sum(0), 1e-300)
         p = (1 - SMOOTHING) * share * (1 - UNKNOWN) + SMOOTHING * uniform
-        p[n] = UNKNOWN
+        p[n:] = [[UNKNOWN], [0.0]]
     return Model(languages, pieces, p)
 
 
@@ -226,7 +230,8 @@ def languages(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
         model, rows = shared.value, []
         for at in range(0, len(texts), 500):
             some = texts.iloc[at : at + 500].tolist()
-            for text, s in zip(some, model.text_scores(some) if model.languages else [None] * len(some)):
+            scores = model.text_scores(some) if model.languages else [None] * len(some)
+            for text, s in zip(some, scores):
                 if s is None or not text or not _WORDS.search(text):
                     rows.append(("und", 0.0))
                 else:

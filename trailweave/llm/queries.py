@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, mixing, quality, simhash, toxicity
+from . import bpe, exact_dedup, html_text, language, line_dedup, mixing, quality, simhash, toxicity, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -30,11 +31,53 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def _draw(value: Column, salt: str) -> Column:
+    """A number from 0 to 2^28 - 1 that any engine can derive from the value."""
+    return F.conv(F.substring(F.md5(F.concat(value, F.lit(salt))), 1, 7), 16, 10).cast("int")
+
+
+def dated_entries(pages: DataFrame) -> DataFrame:
+    """A list history of the pages' own hosts, domains and sections: (list, target, day, added).
+
+    Every target comes on a list; half of them leave it again, and a third of those return.
+    """
+    found = pages.select(F.explode(url_filter.targets_of(F.col("url"))).alias("target")).distinct()
+    listed = found.where(F.size(F.split("target", "/")) <= 2).where(_draw(F.col("target"), "chosen") % 3 == 0)
+    names = F.array(*[F.lit(n) for n in ("adult", "malware", "spam")])
+    came = listed.select(
+        names[_draw(F.col("target"), "list") % 3].alias("list"), "target",
+        F.date_add(F.lit("2024-01-01").cast("date"), _draw(F.col("target"), "day") % 200).alias("day"),
+        (_draw(F.col("target"), "left") % 6).alias("fate"),
+    )
+    left = came.where("fate < 3").withColumn("day", F.date_add("day", 60))
+    back = came.where("fate < 1").withColumn("day", F.date_add("day", 90))
+    events = [df.select("list", "target", "day", F.lit(added).alias("added")) for df, added in ((came, True), (left, False), (back, True))]
+    return events[0].unionByName(events[1]).unionByName(events[2])
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, fetched on some day of a year, against the list entries valid on that day."""
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), _draw(F.col("page_id").cast("string"), "fetched") % 366)
+    judged = url_filter.filtered(pages.withColumn("fetched", day), dated_entries(pages))
+    return judged.withColumns({"fetched": F.col("fetched").cast("string"), "lists": F.array_join("lists", ",")})
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its toxicity, learned from labelled documents that are not held out."""
     return toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return html_text.main_texts(_read(spark, sf_dir, "pages"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learned from documents that are not held out."""
+    return language.languages(_read(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token count and the digests of its ids and of what they decode to."""
     return bpe.round_trip(_read(spark, sf_dir, "documents"))
@@ -54,7 +97,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op3_simhash": op3_simhash,
+    "op4_url_filter": op4_url_filter,
     "op5_toxicity": op5_toxicity,
+    "op6_html_text": op6_html_text,
+    "op7_language": op7_language,
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_mix": op10_mix,
@@ -83,4 +129,41 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM m GROUP BY r, doc_id
     """,
+    "op4_url_filter": r"""
+        WITH parsed AS (
+            SELECT row_number() OVER () AS r, page_id, url, DATE '2024-01-01' + CAST(
+                       CAST('0x' || left(md5(CAST(page_id AS VARCHAR) || 'fetched'), 7) AS INT) % 366 AS INT) AS fetched,
+                   rtrim(lower(regexp_extract(coalesce(url, ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '.') AS host,
+                   list_filter(string_split(regexp_extract(coalesce(url, ''),
+                       '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda s: s <> '') AS segments
+            FROM pages),
+        captures AS (SELECT *, array_to_string(list_prepend(host, segments), '/') || '/' AS full_path
+                     FROM parsed),
+        hosts AS (SELECT DISTINCT host FROM captures WHERE host <> ''),
+        targets AS (
+            SELECT DISTINCT host || '/' || segments[1] AS target FROM captures WHERE host <> '' AND len(segments) > 0
+            UNION SELECT array_to_string(list_slice(string_split(host, '.'), i, 30), '.')
+            FROM hosts, range(1, 30) AS g(i) WHERE i <= len(string_split(host, '.'))),
+        drawn AS (SELECT target, CAST('0x' || left(md5(target || 'list'), 7) AS INT) % 3 AS name,
+                         CAST('0x' || left(md5(target || 'day'), 7) AS INT) % 200 AS came,
+                         CAST('0x' || left(md5(target || 'left'), 7) AS INT) % 6 AS fate
+                  FROM targets WHERE CAST('0x' || left(md5(target || 'chosen'), 7) AS INT) % 3 = 0),
+        spans AS (
+            SELECT target, name, came AS first_day, CASE WHEN fate < 3 THEN came + 60 ELSE 100000 END AS last_day FROM drawn
+            UNION ALL SELECT target, name, came + 90, 100000 FROM drawn WHERE fate < 1),
+        hits AS (
+            SELECT c.r, s.target, ['adult', 'malware', 'spam'][s.name + 1] AS list
+            FROM captures c JOIN spans s
+              ON (s.target = c.host OR suffix(c.host, '.' || s.target)
+                  OR (contains(s.target, '/') AND starts_with(c.full_path, s.target || '/')))
+             AND date_diff('day', DATE '2024-01-01', c.fetched) >= s.first_day
+             AND date_diff('day', DATE '2024-01-01', c.fetched) < s.last_day
+            WHERE c.host <> ''),
+        judged AS (SELECT r, count(*) AS n_entries, arg_max(target, length(target)) AS target,
+                          array_to_string(list_sort(list_distinct(list(list))), ',') AS lists
+                   FROM hits GROUP BY r)
+        SELECT page_id, url, strftime(fetched, '%Y-%m-%d') AS fetched, n_entries IS NOT NULL AS blocked,
+               coalesce(n_entries, 0) AS n_entries, target, coalesce(lists, '') AS lists
+        FROM captures LEFT JOIN judged USING (r)
+    """,
 }

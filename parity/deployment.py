@@ -12,7 +12,8 @@ from trailweave.plans import first_visit, sessions, staging
 from trailweave.plans.pipeline import MARTS, Warehouse
 from trailweave.session import shared_root, size_shuffles
 from trailweave.sources import adapter
-from trailweave.sources.export import read_shards
+from trailweave.sources.export import read_shards, uncovered_intraday
+from trailweave.sources.schema import PHYSICAL_KEY
 
 _deployments: dict[tuple[str, str], Deployment] = {}
 
@@ -62,6 +63,11 @@ class Deployment:
     def intraday(self) -> DataFrame:
         return self._shards("intraday")
 
+    @cached_property
+    def events(self) -> DataFrame:
+        """Every raw event once: daily shards, and intraday ones of dates without a daily shard."""
+        return self.daily.unionByName(uncovered_intraday(self.daily, self.intraday).dropDuplicates([*PHYSICAL_KEY]))
+
     @property
     def intraday_path(self) -> str:
         if self._export is None:

@@ -66,7 +66,7 @@ def src_intraday_dedupe(d: Deployment) -> DataFrame:
 
 @query
 def nested_params(d: Deployment) -> DataFrame:
-    return d.daily.select(
+    return d.events.select(
         "batch_ordering_id",
         nested.param_int("ga_session_id").alias("ga_session_id"),
         nested.param_int("ga_session_number").alias("ga_session_number"),
@@ -75,13 +75,14 @@ def nested_params(d: Deployment) -> DataFrame:
         nested.param_string("session_engaged").alias("engaged_string"),
         nested.param_string("page_location").alias("page_location"),
         nested.param_string("page_title").alias("page_title"),
+        nested.param_any("scroll_depth").alias("scroll_depth"),
         nested.param_string("no_such_key").alias("absent"),
     )
 
 
 @query
 def nested_items_trim(d: Deployment) -> DataFrame:
-    items = d.daily.select("batch_ordering_id", F.explode(nested.trim_items()).alias("item"))
+    items = d.events.select("batch_ordering_id", F.explode(nested.trim_items()).alias("item"))
     return items.select("batch_ordering_id", "item.*")
 
 
@@ -103,7 +104,7 @@ def nested_item_explode(d: Deployment) -> DataFrame:
 
 @query
 def nested_item_params(d: Deployment) -> DataFrame:
-    items = d.daily.select("batch_ordering_id", F.explode("items").alias("item"))
+    items = d.events.select("batch_ordering_id", F.explode("items").alias("item"))
     return items.select(
         "batch_ordering_id",
         F.col("item.item_id").alias("item_id"),
@@ -114,7 +115,7 @@ def nested_item_params(d: Deployment) -> DataFrame:
 
 @query
 def nested_item_sum(d: Deployment) -> DataFrame:
-    return d.daily.select(
+    return d.events.select(
         "batch_ordering_id",
         nested.items_revenue_usd().alias("items_revenue_usd"),
         F.size(nested.trim_items()).cast("bigint").alias("n_items"),
@@ -155,7 +156,7 @@ def metric_orders(d: Deployment) -> DataFrame:
 @query
 def metric_bounce(d: Deployment) -> DataFrame:
     return (
-        d.staged.where(F.col("ga_session_id").isNotNull() & F.col("user_pseudo_id").isNotNull())
+        d.staged.where(F.col("ga_session_id").isNotNull())
         .groupBy("user_pseudo_id", "ga_session_id")
         .agg(
             metrics.duration_seconds().alias("duration_seconds"),
@@ -217,7 +218,7 @@ def metric_geo(d: Deployment) -> DataFrame:
     joint = text.geo_all_or_unknown(city, region, country)
     clean = [text.geo_clean(c) for c in (city, region, country)]
     return (
-        d.daily.select(
+        d.events.select(
             *[c.alias(f"clean_{i}") for i, c in enumerate(clean)],
             *[c.alias(f"joint_{i}") for i, c in enumerate(joint)],
             text.city_state_country(*clean).alias("month_label"),
@@ -231,7 +232,7 @@ def metric_geo(d: Deployment) -> DataFrame:
 @query
 def metric_device_page_type(d: Deployment) -> DataFrame:
     raw_type = nested.param_string("page_type")
-    return d.daily.groupBy(
+    return d.events.groupBy(
         "platform",
         F.col("device.category").alias("category"),
         text.device_class(F.col("platform"), F.col("device.category")).alias("device_class"),
@@ -243,7 +244,7 @@ def metric_device_page_type(d: Deployment) -> DataFrame:
 @query
 def metric_page_path(d: Deployment) -> DataFrame:
     location = nested.param_string("page_location")
-    return d.daily.groupBy(location.alias("location"), text.page_path(location).alias("path")).agg(
+    return d.events.groupBy(location.alias("location"), text.page_path(location).alias("path")).agg(
         F.count("*").alias("events")
     )
 

@@ -32,14 +32,27 @@ def param_int(key: str, params: Column | str = "event_params") -> Column:
     return param_value(key, params).getField("int_value")
 
 
+def plain_double(c: Column) -> Column:
+    """A double as text: no fraction if whole, and digits instead of an exponent from 1e-4 up to 1e15."""
+    text = F.regexp_replace(c.cast("string"), r"\.0$", "")
+    sign, digits = F.regexp_extract(text, "^-", 0), F.regexp_replace(F.regexp_extract(text, r"^-?([0-9.]+)E", 1), r"\.", "")
+    power = F.regexp_extract(text, r"E(-?[0-9]+)$", 1)
+    e = F.when(power != "", power.cast("int"))
+    digits = F.rtrim(digits, F.lit("0"))
+    whole = F.rpad(F.substring(digits, F.lit(1), e + 1), e + 1, F.lit("0"))
+    fraction = F.substring(digits, e + 2, F.length(digits))
+    large = F.concat(sign, whole, F.when(fraction != "", F.concat(F.lit("."), fraction)).otherwise(F.lit("")))
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)
+    return F.when(e.between(7, 14), large).when(e.between(-4, -1), small).otherwise(text)
+
+
 def param_any(key: str, params: Column | str = "event_params") -> Column:
     """Whichever variant of the union is set, as text: string, then int, then double."""
     value = param_value(key, params)
     return F.coalesce(
         value.getField("string_value"),
         value.getField("int_value").cast("string"),
-        # a whole double is written without its fraction: 1.0 -> '1'
-        F.regexp_replace(value.getField("double_value").cast("string"), r"\.0$", ""),
+        plain_double(value.getField("double_value")),
     )
 
 

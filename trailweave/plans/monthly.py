@@ -45,8 +45,9 @@ def _orders() -> Column:
     return F.coalesce("orders", F.lit(0)).alias("orders")
 
 
-def _revenue() -> list[Column]:
-    return [m.money(F.col(c)).alias(c) for c in ("revenue_local", "revenue_usd")]
+def _revenue() -> dict[str, Column]:
+    """Rounded before anything is divided by it."""
+    return {c: m.money(F.col(c)) for c in ("revenue_local", "revenue_usd")}
 
 
 def channel_performance(
@@ -85,7 +86,7 @@ def channel_performance(
         event_side.join(session_side, keys, "left")
         .join(order_counts(events, MONTH, dims), keys, "left")
         .join(item_reach(events, MONTH, dims), keys, "left")
-        .withColumns({"visits": F.coalesce("visits", F.lit(0)), "orders": _orders()})
+        .withColumns({"visits": F.coalesce("visits", F.lit(0)), "orders": _orders(), **_revenue()})
         .select(
             "month",
             "marketing_channel",
@@ -97,7 +98,8 @@ def channel_performance(
             "product_views",
             "cart_additions",
             "orders",
-            *_revenue(),
+            "revenue_local",
+            "revenue_usd",
             m.pct(F.col("orders"), F.col("visits"), 4).alias("conversion_pct"),
             "unique_product_viewers",
             "unique_cart_users",
@@ -185,7 +187,7 @@ def city_performance(
     return (
         event_side.join(session_quality(visits, MONTH, dims), keys, "left")
         .join(order_counts(events, MONTH, dims), keys, "left")
-        .withColumn("orders", _orders())
+        .withColumns({"orders": _orders(), **_revenue()})
         .select(
             "month",
             label.alias("city_display"),
@@ -196,7 +198,8 @@ def city_performance(
             "add_to_wishlist",
             "add_to_cart",
             "orders",
-            *_revenue(),
+            "revenue_local",
+            "revenue_usd",
             "bounce_rate_flag_pct",
             "bounce_rate_3cond_pct",
             m.pct(F.col("orders"), F.col("visits"), 4).alias("conversion_pct"),

@@ -1,9 +1,7 @@
 """Derives a raw event export from the driver's tables, following FIXTURES.md section 6.
 
-All arithmetic is integer, so another SQL engine reproduces every value. Event lines come
-from ``lineitem``; lines of an order that repeat a line number are consolidated into one
-item before nesting, so an item array holds at most ``LINE_SLOTS`` entries however many
-lines one order has.
+Arithmetic is integer, or single steps on doubles, so another SQL engine reproduces every
+value. Items come from ``lineitem``: every line number and part of an order is one item.
 """
 
 from __future__ import annotations
@@ -19,7 +17,6 @@ DEMO = EngineConfig(as_of_date=date(2024, 2, 15))
 
 DAY_SECONDS = 86_400
 SHIFT_DAYS = 15
-LINE_SLOTS = 8
 
 # Dates without a daily shard, and dates with an intraday shard. 2024-02-10 has
 # both, so its intraday rows must be ignored.
@@ -40,6 +37,8 @@ CHANNELS = (
 )
 # Page types, indexed by event_id mod 8.
 PAGE_TYPES = ("home", "PLP", "plp", "pdp", "Cart", "checkout", "order-confirmation", None)
+# Shares of the page scrolled, indexed by event_id mod 7; doubles of all sizes.
+DEPTHS = (0.0001, 0.5, 12345678.0, 1e9, 1234567.25, 100.0, None)
 # Device categories, indexed by user_id mod 4.
 DEVICES = ("desktop", "mobile", "tablet", None)
 COMMERCE = ("view_item", "view_item_list", "add_to_cart", "add_to_wishlist", "purchase")
@@ -49,13 +48,15 @@ def _pick(index: Column, values) -> Column:
     return F.get(F.array(*[F.lit(v).cast("string") for v in values]), index.cast("int"))
 
 
-def _param(key: str, text: Column | None = None, number: Column | None = None) -> Column:
+def _param(
+    key: str, text: Column | None = None, number: Column | None = None, double: Column | None = None
+) -> Column:
     return F.struct(
         F.lit(key).alias("key"),
         F.struct(
             (F.lit(None) if text is None else text).cast("string").alias("string_value"),
             (F.lit(None) if number is None else number).cast("bigint").alias("int_value"),
-            F.lit(None).cast("double").alias("double_value"),
+            (F.lit(None) if double is None else double).cast("double").alias("double_value"),
         ).alias("value"),
     )
 
@@ -71,17 +72,19 @@ def _event_name(kind: Column, k: Column) -> Column:
 
 
 def order_items(spark: SparkSession, sf_dir: str, wanted: DataFrame) -> DataFrame:
-    """One row per wanted order (``event_id``): its lines as an item array, at most LINE_SLOTS long.
+    """One row per wanted order (``event_id``): its lines as an item array, by line number and part.
 
-    Lines are consolidated before they meet the wanted orders, so that an order holding a
-    large share of all lines has shrunk to a few rows by then; flat values are nested, and
-    the items are formed from them afterwards.
+    Lines that repeat both are one item, with their quantities and revenues summed. They are
+    combined before they meet the wanted orders, so that an order holding a large share of all
+    lines has shrunk by then; flat values are nested, and the items are formed from them
+    afterwards. One raw event row holds all items of its order, as the export's schema has it.
     """
     lines = (
         spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-        .groupBy(F.col("l_orderkey").alias("event_id"), (F.col("l_linenumber") % LINE_SLOTS).alias("line"))
+        .groupBy(
+            F.col("l_orderkey").alias("event_id"), F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("p_partkey")
+        )
         .agg(
-            F.max("l_partkey").alias("p_partkey"),
             F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("bigint").alias("quantity"),
             F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("revenue"),
         )
@@ -146,6 +149,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_format(F.timestamp_micros(us), "yyyyMMdd")
     location = F.when(eid % 11 == 0, F.lit(None)).when(eid % 23 == 0, F.lit("not-a-url")).otherwise(F.col("url"))
     page_kind = _pick(eid % 8, PAGE_TYPES)
+    depth = F.get(F.array(*[F.lit(v).cast("double") for v in DEPTHS]), (eid % len(DEPTHS)).cast("int"))
     params = F.array_compact(
         F.array(
             F.when(eid % 53 != 0, _param("ga_session_id", number=sid)),
@@ -157,6 +161,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(location.isNotNull(), _param("page_location", text=location)),
             _param("page_title", text=F.concat(F.lit("Page "), F.col("page_id").cast("string"))),
             F.when(page_kind.isNotNull(), _param("page_type", text=page_kind)),
+            F.when(depth.isNotNull(), _param("scroll_depth", double=depth)),
         )
     )
     buys = F.col("event_name") == "purchase"
@@ -196,7 +201,8 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .when(k == 2, F.lit("(not set)"))
                 .otherwise(F.concat(F.lit("T"), F.expr("event_id div 20").cast("string")))
                 .alias("transaction_id"),
-                F.when(k % 10 != 9, F.col("value") * 4).alias("purchase_revenue"),
+                # parts of a cent, so that rounding before or after a division shows
+                F.when(k % 10 != 9, F.col("value") * 4 + (eid % 7).cast("double") * 0.001).alias("purchase_revenue"),
                 F.when(k == 50, -F.col("value")).otherwise(F.col("value")).alias("purchase_revenue_in_usd"),
                 (k % 5 + 1).cast("bigint").alias("total_item_quantity"),
             ),

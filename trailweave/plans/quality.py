@@ -15,13 +15,11 @@ from ..sources.export import shard_dates
 
 
 def export_freshness(daily: DataFrame, intraday: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Fails when the newest covered date is older than yesterday."""
-    recent = daily.where(F.col("shard_date") >= cfg.days_ago(30).strftime("%Y%m%d"))
-    newest = F.max(F.to_date("shard_date", "yyyyMMdd"))
-    covered = shard_dates(recent).unionByName(shard_dates(intraday))
-    return covered.agg(
-        newest.alias("newest_covered_date"), F.lit(cfg.as_of_date).alias("checked_at")
-    ).where(F.col("newest_covered_date") < F.lit(cfg.days_ago(1)))
+    """Fails when the newest covered date is older than yesterday, or there is none."""
+    covered = shard_dates(daily).unionByName(shard_dates(intraday))
+    stale = F.col("newest_covered_date").isNull() | (F.col("newest_covered_date") < F.lit(cfg.days_ago(1)))
+    newest = F.max(F.to_date("shard_date", "yyyyMMdd")).alias("newest_covered_date")
+    return covered.agg(newest, F.lit(cfg.as_of_date).alias("checked_at")).where(stale)
 
 
 def export_continuity(

@@ -20,7 +20,7 @@ def read_shards(spark: SparkSession, root: str, since: str | None = None) -> Dat
 
 def shard_dates(shards: DataFrame) -> DataFrame:
     """The dates that hold rows. Only the partition column is read: one row per day comes out."""
-    return shards.groupBy("shard_date").agg(F.count("*").alias("shard_rows"))
+    return shards.select("shard_date").distinct()
 
 
 def uncovered_intraday(daily: DataFrame, intraday: DataFrame) -> DataFrame:
@@ -32,8 +32,6 @@ def uncovered_intraday(daily: DataFrame, intraday: DataFrame) -> DataFrame:
     """
     missing = (
         shard_dates(intraday)
-        .join(F.broadcast(shard_dates(daily).select("shard_date")), "shard_date", "left_anti")
-        .where(F.col("shard_rows") > 0)
-        .select("shard_date")
+        .join(F.broadcast(shard_dates(daily)), "shard_date", "left_anti")
     )
     return intraday.join(F.broadcast(missing), "shard_date", "left_semi")

@@ -10,7 +10,7 @@ from trailweave import configure
 from trailweave.config import EngineConfig
 from trailweave.plans import first_visit, sessions, staging
 from trailweave.plans.pipeline import MARTS, Warehouse
-from trailweave.session import shared_root, size_shuffles
+from trailweave.session import shared_root, sized_shuffles
 from trailweave.sources import adapter
 from trailweave.sources.export import read_shards, uncovered_intraday
 from trailweave.sources.schema import PHYSICAL_KEY
@@ -40,14 +40,14 @@ class Deployment:
 
     @cached_property
     def raw(self) -> DataFrame:
-        size_shuffles(*[self.spark.read.parquet(f"{self.sf_dir}/{t}.parquet") for t in ("events", "lineitem")])
         return adapter.raw_events(self.spark, self.sf_dir)
 
     @cached_property
     def _export(self) -> str | None:
         if self.root is None:
             return None
-        adapter.write_export(self.raw, f"{self.root}/raw")
+        with sized_shuffles(*[self.spark.read.parquet(f"{self.sf_dir}/{t}.parquet") for t in ("events", "lineitem")]):
+            adapter.write_export(self.raw, f"{self.root}/raw")
         return f"{self.root}/raw"
 
     def _shards(self, family: str) -> DataFrame:

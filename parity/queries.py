@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -260,9 +261,14 @@ def metric_list_segment(d: Deployment) -> DataFrame:
 
 
 def _staged_out(df: DataFrame) -> DataFrame:
+    def text(item: Column) -> Column:
+        amounts = [item[c].cast("decimal(18,2)") for c in ("item_revenue", "item_revenue_in_usd")]
+        plain = [item[c] for c in ("item_id", "item_name", "item_category", "item_category_3", "quantity", "item_list_name")]
+        return F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("-")) for c in (*plain, *amounts)])
+
     return df.withColumns(
-        {"event_us": _micros("event_timestamp"), "n_items": F.size("items").cast("bigint")}
-    ).drop("event_timestamp", "items")
+        {"event_us": _micros("event_timestamp"), "items": F.array_join(F.transform("items", text), "; ")}
+    ).drop("event_timestamp")
 
 
 def _sessions_out(df: DataFrame) -> DataFrame:
@@ -353,7 +359,8 @@ def _window_run(name: str, column: str) -> Query:
     def run(d: Deployment) -> DataFrame:
         mart = MARTS[name]
         extra = [d.first_visits] if mart.needs_first_visits else []
-        stored = mart.build(_earlier(d), d.sessions, *extra, d.cfg)
+        was = [first_visit.first_visits(_earlier(d), d.cfg)] if mart.needs_first_visits else []
+        stored = mart.build(_earlier(d), sessions.sessions(_earlier(d), d.cfg), *was, d.cfg)
         fresh = mart.build(d.staged, d.sessions, *extra, d.cfg, incremental=True)
         return replace_window(stored, fresh, column, mart.boundary(d.cfg))
 
@@ -445,8 +452,10 @@ def dq_row_conditions(d: Deployment) -> DataFrame:
 
 @query
 def dq_model_rules(d: Deployment) -> DataFrame:
-    """Every declared rule of the session model; views without a user id break two of them."""
-    return RULES["sessions"].violations(d.sessions)
+    """Every declared rule of every model; sessions without a user id break two of theirs."""
+    tables = {"sessions": d.sessions, "first_visits": d.first_visits} | {name: d.mart(name) for name in MARTS}
+    found = [rules.violations(tables[name]).withColumn("model", F.lit(name)) for name, rules in RULES.items()]
+    return reduce(DataFrame.unionByName, found)
 
 
 # ---------------------------------------------------------------- streaming
@@ -454,10 +463,10 @@ def dq_model_rules(d: Deployment) -> DataFrame:
 
 @query
 def stream_intraday(d: Deployment) -> DataFrame:
-    """The intraday feed run to the end of the available shards, then read back."""
+    """The intraday feed run to the end of the available shards, a file a batch, then read back."""
     out = f"{d.root}/stream-{d.spark.sparkContext.startTime}"
     feed = start_intraday_feed(
-        read_intraday_stream(d.spark, d.intraday_path), f"{out}/events", f"{out}/checkpoint", available_now=True
+        read_intraday_stream(d.spark, d.intraday_path, max_files=1), f"{out}/events", f"{out}/checkpoint", available_now=True
     )
     feed.awaitTermination()
     staged = d.spark.read.schema(staging.STAGED_EVENT).parquet(f"{out}/events")

@@ -233,6 +233,13 @@ def test_params(spark):
     assert tuple(got) == ("x", 5, "5", "1", "2.5", None, None)
 
 
+def test_doubles_as_text_have_no_exponent(spark):
+    cases = [(1e-4, "0.0001"), (-2.5e-4, "-0.00025"), (0.5, "0.5"), (7.0, "7"), (1e7, "10000000"), (12345678.5, "12345678.5"),
+             (1e9, "1000000000"), (-1234567890.25, "-1234567890.25"), (0.0, "0"), (None, None)]
+    got = spark.createDataFrame([(x, i) for i, (x, _) in enumerate(cases)], "x double, i int").select("i", nested.plain_double(F.col("x")).alias("t"))
+    assert [r.t for r in got.orderBy("i").collect()] == [t for _, t in cases]
+
+
 def test_params_of_missing_array(spark):
     event = {**raw_event("20240201", "page_view"), "event_params": None}
     assert spark.createDataFrame([event], RAW_EVENT).select(nested.param_int("ga_session_id")).first()[0] is None

@@ -124,6 +124,14 @@ def test_item_counts_tell_absent_from_zero(spark):
     assert got == {"None": None, "Zero": 0, "One": 1, "Total": 1}
 
 
+@pytest.mark.parametrize("build", [monthly.channel_performance, monthly.device_performance, monthly.city_performance])
+def test_ticket_sizes_divide_the_rounded_revenue(spark, build):
+    """0.246 of revenue is shown as 0.25, and two orders make 0.125 each of that, not 0.123."""
+    rows = [raw_event("20240201", "purchase", micros=at(1, k), tx=f"T{k}", usd=usd, items=[item("a")]) for k, usd in enumerate((0.2, 0.046))]
+    for r in built(spark, rows, build).collect():
+        assert (r.revenue_usd, r.ticket_size_usd, r.ticket_size_local) == (0.25, 0.13, 0.13)
+
+
 def test_channel_shares_add_up(spark):
     rows = [
         raw_event("20240201", "page_view", user=f"u{i}", micros=at(1, i), session_traffic_source_last_click={

@@ -4,13 +4,14 @@ from dataclasses import replace
 from datetime import date
 
 import pytest
-from helpers import assert_same, raw_event, spark_rows
+from helpers import assert_same, duck, raw_event, spark_rows
 from pyspark.sql import functions as F
 from test_models import CFG, at, frame
 
 from parity.deployment import Deployment
 from trailweave.operators.incremental import cluster_write, latest_snapshot, merge_by_key, write_snapshot, write_window
 from trailweave.plans.pipeline import MARTS, Warehouse
+from trailweave.session import sized_shuffles
 from trailweave.sources import adapter
 from trailweave.sources.export import read_shards
 from trailweave.streaming.intraday import read_intraday_stream, start_intraday_feed
@@ -142,3 +143,46 @@ def test_feed_survives_a_restart(spark, tmp_path):
         start_intraday_feed(read_intraday_stream(spark, source), out, checkpoint, available_now=True).awaitTermination()
     got = spark.read.parquet(out)
     assert sorted((r.event_name, r.shard_type) for r in got.collect()) == [("page_view", "intraday"), ("page_view", "intraday"), ("scroll", "intraday")]
+
+
+def test_feed_is_the_same_in_any_order(spark, tmp_path):
+    """Shards that arrive newest first, one file a batch, give what one batch of all gives."""
+    days = [f"202402{n:02d}" for n in (5, 9, 13, 14)]
+    rows = [raw_event(day, "page_view", micros=at(int(day[6:])) + k, index=k) for day in days for k in range(5)]
+    rows += [dict(r) for r in rows[::3]]
+    feeds = []
+    for name, order, options in (("once", days, {}), ("late", days[::-1], {"max_files": 1})):
+        source, out, checkpoint = (str(tmp_path / f"{name}-{n}") for n in ("source", "out", "checkpoint"))
+        for day in order:
+            shard = [r for r in rows if r["event_date"] == day]
+            frame(spark, shard).coalesce(1).write.mode("append").partitionBy("shard_date").parquet(source)
+            if options:
+                start_intraday_feed(read_intraday_stream(spark, source, **options), out, checkpoint, available_now=True).awaitTermination()
+        if not options:
+            start_intraday_feed(read_intraday_stream(spark, source), out, checkpoint, available_now=True).awaitTermination()
+        feeds.append(spark_rows(spark.read.parquet(out).select("event_date", "event_name", "event_timestamp", "raw_batch_event_index")))
+    assert feeds[0] == feeds[1] and len(feeds[0]) == len(days) * 5
+
+
+@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_items_are_all_there(spark, sf_dir):
+    """Every line number and part of an order with a commerce event is one item of it."""
+    raw = adapter.raw_events(spark, sf_dir).where(F.col("items").isNotNull())
+    found = raw.select("batch_ordering_id", F.explode("items").alias("i")).groupBy().agg(
+        F.count("*").alias("n"), F.sum("i.quantity").alias("quantity")
+    ).first()
+    n, quantity = duck(sf_dir).execute(
+        "SELECT count(DISTINCT (l_orderkey, l_linenumber, l_partkey)), sum(l_quantity) FROM lineitem JOIN events ON event_id = l_orderkey "
+        "WHERE event_type IN ('purchase', 'click') OR (event_type = 'view' AND CAST(props ->> '$.k' AS INT) >= 60) "
+        "OR (event_type NOT IN ('view', 'click', 'purchase', 'signup') AND CAST(props ->> '$.k' AS INT) < 50)"
+    ).fetchone()
+    assert (found.n, found.quantity) == (n, quantity)
+
+
+def test_shuffle_sizing_is_put_back(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    big = spark.range(1 << 45)
+    with sized_shuffles(big, big) as wanted:
+        assert wanted > 20_000 and spark.conf.get(key) == str(wanted)
+    assert spark.conf.get(key, None) == before

@@ -24,8 +24,11 @@ def test_freshness(spark):
     assert rows(q.export_freshness(daily, intraday, late)) == [(date(2024, 2, 14), date(2024, 2, 16))]
 
 
-def test_freshness_without_shards_has_nothing_to_report(spark):
-    assert rows(q.export_freshness(frame(spark, []), frame(spark, []), CFG)) == []
+def test_freshness_fails_on_a_dead_export(spark):
+    """Shards of forty days ago, or none at all: the worst outage is reported like a late shard."""
+    old, none = raw_event("20240106", "page_view"), frame(spark, [])
+    assert rows(q.export_freshness(frame(spark, [old]), none, CFG)) == [(date(2024, 1, 6), date(2024, 2, 15))]
+    assert rows(q.export_freshness(none, none, CFG)) == [(None, date(2024, 2, 15))]
 
 
 def test_continuity(spark):

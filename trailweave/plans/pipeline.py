@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import EngineConfig
 from ..operators.incremental import cluster_write, latest_snapshot, write_snapshot, write_window
-from ..session import size_shuffles
+from ..session import sized_shuffles
 from ..sources.export import read_shards
 from . import depth, first_visit, monthly, pages, product, sessions, staging, weekly
 
@@ -108,11 +108,13 @@ class Warehouse:
             self.refresh_mart(name, incremental)
 
     def refresh_silver(self, daily: DataFrame, intraday: DataFrame, incremental: bool = False) -> None:
+        recent = F.col("shard_date") >= self.cfg.lookback_suffix
+        read = [df.where(recent) if incremental else df for df in (daily, intraday)]
+        with sized_shuffles(*read):
+            self._refresh_silver(daily, intraday, incremental)
+
+    def _refresh_silver(self, daily: DataFrame, intraday: DataFrame, incremental: bool) -> None:
         cfg, boundary = self.cfg, self.cfg.lookback_date
-        if incremental:
-            size_shuffles(daily.where(F.col("shard_date") >= cfg.lookback_suffix))
-        else:
-            size_shuffles(daily)
         self._commit(
             self.STAGED,
             staging.staged_events(daily, intraday, cfg, incremental),
@@ -135,6 +137,10 @@ class Warehouse:
         write_snapshot(firsts, self.path(self.FIRST_VISITS), self._version())
 
     def refresh_mart(self, name: str, incremental: bool = False) -> None:
+        with sized_shuffles(self.staged(), self.sessions()):
+            self._refresh_mart(name, incremental)
+
+    def _refresh_mart(self, name: str, incremental: bool) -> None:
         mart = MARTS[name]
         if mart.partition is None:
             write_snapshot(self.build_mart(name), self.path(name), self._version(), mart.cluster)

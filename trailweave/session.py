@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,7 +35,8 @@ _TUNING = {
 }
 
 SHUFFLE_PARTITION_BYTES = 128 << 20
-MAX_SHUFFLE_PARTITIONS = 20_000
+# what the planner puts for an input whose size it cannot tell
+UNKNOWN_BYTES = (1 << 63) - 1
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -46,19 +49,33 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(*inputs: DataFrame) -> int:
-    """Start shuffles with enough partitions for the inputs; adaptive execution merges small ones.
+@contextmanager
+def sized_shuffles(*inputs: DataFrame) -> Iterator[int]:
+    """Within, shuffles start with enough partitions for all the inputs; adaptive execution merges small ones.
 
-    Only ever raises the count the submitter set. Sizes are the planner's estimates, taken
-    after partition pruning.
+    Only ever raises the count the submitter set, and puts it back at the end. Sizes are those of
+    the tables scanned, after partition pruning; estimates of joins multiply and say nothing.
     """
-    spark = inputs[0].sparkSession
-    total = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
-    wanted = min(total // SHUFFLE_PARTITION_BYTES, MAX_SHUFFLE_PARTITIONS)
+    spark, key = inputs[0].sparkSession, "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    total = sum(_scanned_bytes(df) for df in inputs)
+    wanted = total // SHUFFLE_PARTITION_BYTES
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    before = spark.conf.get(key, None)
     if wanted > current:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", wanted)
-    return max(wanted, current)
+        spark.conf.set(key, wanted)
+    try:
+        yield max(wanted, current)
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def _scanned_bytes(df: DataFrame) -> int:
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
 
 
 def shared_root(spark: SparkSession) -> str | None:

@@ -6,11 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.incremental import append_new_keys
 from ..plans.staging import typed_events
 from ..sources.schema import PHYSICAL_KEY, RAW_EVENT
 
-# Fixed value: how long after its date a shard may still be restated.
-REPLAY_HORIZON = "72 hours"
+_RAW_KEYS = tuple(c for c in PHYSICAL_KEY if c not in ("user_pseudo_id", "event_name", "event_timestamp"))
+_KEY = ("user_pseudo_id", "event_name", "event_timestamp", *(f"raw_{c}" for c in _RAW_KEYS))
+_KEY_SCHEMA = (
+    "user_pseudo_id string, event_name string, event_timestamp timestamp, "
+    + ", ".join(f"raw_{c} bigint" for c in _RAW_KEYS)
+    + ", batch bigint, event_date date"
+)
 
 
 def read_intraday_stream(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
@@ -20,36 +26,34 @@ def read_intraday_stream(spark: SparkSession, root: str, max_files: int | None =
     return reader.parquet(root)
 
 
-def staged_stream(raw: DataFrame, horizon: str = REPLAY_HORIZON) -> DataFrame:
-    """Typed events with replays removed; state holds the physical keys of the horizon only."""
-    extra = [c for c in PHYSICAL_KEY if c not in ("user_pseudo_id", "event_name", "event_timestamp")]
-    return (
-        typed_events(raw, *extra)
-        .withWatermark("event_timestamp", horizon)
-        .dropDuplicatesWithinWatermark(
-            ["user_pseudo_id", "event_name", "event_timestamp", *(f"raw_{c}" for c in extra)]
-        )
-        .drop(*(f"raw_{c}" for c in extra))
-        .withColumn("shard_type", F.lit("intraday"))
-    )
+def stage_batch(batch: DataFrame, batch_id: int, out: str) -> None:
+    """Write the batch's events that no earlier batch has, as ``out/batch=<id>/event_date=<day>``.
+
+    Replays are looked for among the stored rows of the batch's own days, however old those are,
+    so the feed is the same in whatever order and portions the shards arrive. A batch that runs
+    again after a failure replaces what it wrote.
+    """
+    spark = batch.sparkSession
+    rows = typed_events(batch, *_RAW_KEYS).dropDuplicates([*_KEY]).withColumn("shard_type", F.lit("intraday"))
+    days = [r.event_date for r in batch.select(F.to_date("event_date", "yyyyMMdd").alias("event_date")).distinct().collect()]
+    if not days:  # one entry per calendar day of the batch
+        return
+    if batch_id > 0:
+        stored = spark.read.schema(_KEY_SCHEMA).parquet(out)
+        stored = stored.where((F.col("batch") < batch_id) & F.col("event_date").isin(*days))
+        rows = append_new_keys(rows, stored, _KEY)
+    rows.write.mode("overwrite").partitionBy("event_date").parquet(f"{out}/batch={batch_id}")
 
 
 def start_intraday_feed(
     raw: DataFrame, out: str, checkpoint: str, available_now: bool = False, interval: str = "5 minutes"
 ) -> StreamingQuery:
-    """Append staged events to ``out``, one folder per date.
+    """Keep ``out`` up to the shards: every physical event once, by batch and date.
 
-    The file sink logs each committed batch, so a restart neither repeats nor loses rows. The
-    feed is provisional: rows older than the horizon are left to the batch run, which
-    replaces a date once its daily shard lands.
+    The feed is provisional: the batch run replaces a date once its daily shard lands.
     """
-    writer = (
-        staged_stream(raw)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("event_date")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
+    writer = raw.writeStream.foreachBatch(lambda batch, n: stage_batch(batch, n, out)).option(
+        "checkpointLocation", checkpoint
     )
     if available_now:
         return writer.trigger(availableNow=True).start()

@@ -166,6 +166,8 @@ def fit_pieces(counts: dict[str, dict[str, int]], pieces: list[str], rounds: int
     n, k = len(pieces), len(languages)
     uniform = np.concatenate([np.full(n, (1 - UNKNOWN) / max(n, 1)), [UNKNOWN, 0.0]])[:, None]
     p = np.repeat(uniform, k, axis=1)
+    if not words:
+        return Model([], pieces, p[:, :0])
     trie = _Trie(pieces)
     weight = np.array([[counts[c].get(w, 0) for c in languages] for w in words], float).reshape(-1, k)
     for _ in range(rounds):

@@ -126,6 +126,14 @@ def test_snapshots(spark, tmp_path):
     assert spark_rows(latest_snapshot(spark, path)) == [(0,), (1,), (5,)]
 
 
+def test_snapshots_keep_the_newest(spark, tmp_path):
+    path = str(tmp_path / "s")
+    for n in range(5):
+        write_snapshot(spark.range(n, n + 1), path, str(n), keep=2)
+    assert sorted(p.name for p in (tmp_path / "s").iterdir()) == ["version=3", "version=4"]
+    assert spark_rows(latest_snapshot(spark, path)) == [(4,)]
+
+
 def test_shards_are_pruned(spark):
     d = Deployment.of(spark, SF_DIR)
     pruned = read_shards(spark, adapter.family_path(d._export, "daily"), since="20240210")

@@ -48,3 +48,19 @@ def test_sessions_hash_the_events(spark):
     )
     lines = [line for line in text.splitlines() if "Aggregate" in line]
     assert "HashAggregate" in lines[-1] and "HashAggregate" in lines[-2]
+
+
+@pytest.mark.parametrize("name", sorted(MARTS))
+def test_events_are_combined_before_they_are_copied_for_totals(spark, name):
+    """Below every Expand of staged events there is a shuffle of combined rows."""
+    d = Deployment.of(spark, SF_DIR)
+    text = d.spark.sparkContext._jvm.PythonSQLUtils.explainString(d.mart(name)._jdf.queryExecution(), "simple")
+    below_expand = False
+    for line in text.splitlines():
+        if "Exchange" in line:
+            below_expand = False
+        elif "Expand [" in line:
+            below_expand = True
+        elif "FileScan" in line:
+            assert not (below_expand and "staged_events" in line), name
+            below_expand = False

@@ -43,6 +43,10 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--week-start", default="MONDAY")
     parser.add_argument("--lookback-days", type=int, default=3)
     parser.add_argument("--plp-until", type=date.fromisoformat, help="list-page report ignores events from this date on")
+    parser.add_argument("--max-null-user-pct", type=float, default=1.0, help="events without a user id that a check lets pass")
+    parser.add_argument("--max-missing-engagement-pct", type=float, default=60.0, help="sessions without the engagement parameter")
+    parser.add_argument("--min-volume-vs-median-pct", type=float, default=5.0, help="share of the median day below which volume collapsed")
+    parser.add_argument("--keep-snapshots", type=int, default=3, help="versions kept of tables that are rewritten whole")
     parser.add_argument("--incremental", action="store_true", help="recompute the trailing window only")
     parser.add_argument("--only", nargs="*", choices=sorted(MARTS), help="refresh these marts from the stored tables")
     parser.add_argument("--checks", action="store_true", help="run the quality checks afterwards; failures set the exit code")
@@ -54,6 +58,10 @@ def main(argv: list[str] | None = None) -> int:
         week_start_day=args.week_start,
         lookback_days=args.lookback_days,
         plp_until_date=args.plp_until,
+        max_null_user_pct=args.max_null_user_pct,
+        max_missing_engagement_pct=args.max_missing_engagement_pct,
+        min_volume_vs_median_pct=args.min_volume_vs_median_pct,
+        keep_snapshots=args.keep_snapshots,
     )
     warehouse = Warehouse(spark, cfg, args.out)
     if args.only:

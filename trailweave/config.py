@@ -16,12 +16,16 @@ class EngineConfig:
     max_null_user_pct: float = 1.0
     max_missing_engagement_pct: float = 60.0
     min_volume_vs_median_pct: float = 5.0
+    # versions that whole-table snapshots keep, the newest included
+    keep_snapshots: int = 3
     # list-page report ignores events from this date on; None keeps all of them
     plp_until_date: date | None = None
 
     def __post_init__(self) -> None:
         if self.week_start_day not in WEEKDAYS:
             raise ValueError(f"week_start_day must be one of {WEEKDAYS}, got {self.week_start_day!r}")
+        if self.keep_snapshots < 2:
+            raise ValueError("keep_snapshots must be at least 2: a merge reads the version before its own")
         if self.lookback_days < 0:
             raise ValueError("lookback_days must not be negative")
 

@@ -101,11 +101,20 @@ def append_new_keys(fresh: DataFrame, stored: DataFrame, keys: Sequence[str]) ->
     return fresh.join(stored.select(*keys), same, "left_anti")
 
 
-def write_snapshot(df: DataFrame, path: str, version: str, cluster: Sequence[str] = ()) -> None:
-    """Write a whole table as a new version, so readers and a merge may still read the last one."""
+def write_snapshot(df: DataFrame, path: str, version: str, cluster: Sequence[str] = (), keep: int = 3) -> None:
+    """Write a whole table as a new version, so readers and a merge may still read the last one.
+
+    Once it is committed, all versions but the newest ``keep`` are removed; a reader has until
+    then to finish.
+    """
+    spark = df.sparkSession
     if cluster:
         df = df.hint("rebalance").sortWithinPartitions(*cluster)
     df.write.mode("overwrite").parquet(f"{path}/version={version}")
+    fs, root = _file_system(spark, path)
+    versions = sorted(s.getPath().toString() for s in fs.listStatus(root) if s.getPath().getName().startswith("version="))
+    for old in versions[:-keep]:
+        fs.delete(_hadoop_path(spark, old), True)
 
 
 def latest_snapshot(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:

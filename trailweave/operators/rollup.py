@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,15 +17,23 @@ def total_rollup(
     *aggs: Column,
     grain: Sequence[str] = (),
     label: str = "Total",
+    merge: Callable[[str], Column] = F.sum,
 ) -> DataFrame:
     """GROUPING SETS ((period, dims, grain), (period, grain)); total rows carry ``label`` as dims.
 
+    With a ``grain``, the rows are first combined per period, dims and grain, and only those are
+    copied for the total; ``merge`` lifts each aggregate one level up.
+
     ``is_total`` stays in the result as a key. With a ``grain`` such as the user, the result
     is small enough to count distinct grain values as plain rows afterwards. That replaces
     several COUNT(DISTINCT) over the source, for each of which Spark would copy every input
     row once more before the shuffle.
     """
     fixed = [*period, *grain]
+    if grain:
+        keys = [*fixed, *dims]
+        df = df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
+        aggs = tuple(merge(c).alias(c) for c in df.columns if c not in keys)
     rolled = df.groupingSets([[*fixed, *dims], fixed], *fixed, *dims).agg(
         F.grouping(dims[0]).cast("int").alias(IS_TOTAL), *aggs
     )

@@ -134,7 +134,7 @@ class Warehouse:
         firsts = first_visit.first_visits(self.staged(), cfg, incremental)
         if incremental:
             firsts = first_visit.merge_first_visits(self.first_visits(), firsts, cfg)
-        write_snapshot(firsts, self.path(self.FIRST_VISITS), self._version())
+        write_snapshot(firsts, self.path(self.FIRST_VISITS), self._version(), keep=self.cfg.keep_snapshots)
 
     def refresh_mart(self, name: str, incremental: bool = False) -> None:
         with sized_shuffles(self.staged(), self.sessions()):
@@ -143,7 +143,7 @@ class Warehouse:
     def _refresh_mart(self, name: str, incremental: bool) -> None:
         mart = MARTS[name]
         if mart.partition is None:
-            write_snapshot(self.build_mart(name), self.path(name), self._version(), mart.cluster)
+            write_snapshot(self.build_mart(name), self.path(name), self._version(), mart.cluster, self.cfg.keep_snapshots)
             return
         options, boundary = {}, mart.boundary(self.cfg) if incremental else None
         if incremental and name == "product_performance":

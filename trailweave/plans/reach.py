@@ -68,7 +68,7 @@ def item_reach(events: DataFrame, period: Sequence[str], dims: Sequence[str], la
     return (
         total_rollup(
             rows, period, dims, F.max("viewed").alias("viewed"), F.max("carted").alias("carted"),
-            grain=["item_id"], label=label,
+            grain=["item_id"], label=label, merge=F.max,
         )
         .groupBy(*keys_of(period, dims))
         .agg(

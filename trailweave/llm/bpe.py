@@ -16,6 +16,7 @@ import unicodedata
 from functools import cached_property, lru_cache
 from itertools import chain
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import regex
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from .common import fresh
 
 VOCABULARY = "word_bpe_49k.json"
-#: Words that a worker remembers at most; about 60 MB.
-REMEMBERED = 200_000
+#: Words that a worker remembers at most; about 50 MB.
+REMEMBERED = 150_000
 #: Longer words are not remembered.
 REMEMBERED_LENGTH = 64
 
@@ -149,7 +150,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, name: str = "ids") ->
 
     @F.pandas_udf("array<int>")
     def ids_of(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.encode(t) for t in texts], dtype=object)
+        return pd.Series([np.array(shared.value.encode(t), np.int32) for t in texts], dtype=object)
 
     return docs.withColumn(name, ids_of("text"))
 
@@ -190,8 +191,12 @@ def tokenized(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
     @F.pandas_udf("ids array<int>, decoded_sha256 string")
     def encoded(texts: pd.Series) -> pd.DataFrame:
-        ids = [shared.value.encode(t) for t in texts]
-        return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded_sha256": [_digest(shared.value.decode(i)) for i in ids]})
+        ids, digests = [], []
+        for text in texts:
+            own = shared.value.encode(text)
+            digests.append(_digest(shared.value.decode(own)))
+            ids.append(np.array(own, np.int32))  # a batch of lists would take several times the room
+        return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded_sha256": digests})
 
     name = fresh("encoded")
     rows = docs.withColumn(name, encoded("text"))

@@ -67,6 +67,8 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.ui.enabled", "false")
+        # shuffle bytes are read from the stages' records
+        .config("spark.ui.retainedStages", "1000000")
         # the tables are small: partitions small enough that every core has one
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
         # static; collecting call sites about doubles the time plan building takes

@@ -13,18 +13,19 @@ import hashlib
 import heapq
 import json
 import unicodedata
-from functools import cached_property, lru_cache
+from array import array
+from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
-
 VOCABULARY = "word_bpe_49k.json"
 #: Words that a worker remembers at most; about 50 MB.
 REMEMBERED = 150_000
@@ -39,6 +40,11 @@ def byte_symbols() -> list[str]:
     return [chr(b if b in printable else next(others)) for b in range(256)]
 
 
+#: Columns that tokenized() adds.
+ADDED = {"ids": "array<int>", "n_tokens": "long", "decoded_sha256": "string"}
+TEXTS_AT_ONCE = 200
+
+
 class Codec:
     """Encodes and decodes as the vocabulary file's own library does, without special tokens being added."""
 
@@ -70,7 +76,7 @@ class Codec:
         longest_first = sorted(self.special, key=len, reverse=True)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")")
         self.marks = tuple(longest_first)
-        self.short = lru_cache(REMEMBERED)(self.word)
+        self.known: dict[str, tuple[int, ...]] = {}
 
     def word(self, word: str) -> tuple[int, ...]:
         """Ids of one word."""
@@ -103,12 +109,18 @@ class Codec:
     def _plain(self, text: str) -> list[int]:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no final sigma: characters one by one
-        short, word = self.short, self.word
-        return list(
-            chain.from_iterable(
-                short(w) if len(w) <= REMEMBERED_LENGTH else word(w) for w in self.words.findall(text.lower())
-            )
-        )
+        known, words, long = self.known, self.words.findall(text.lower()), []
+        for w in words:
+            if w not in known:
+                known[w] = self.word(w)
+                if len(w) > REMEMBERED_LENGTH:
+                    long.append(w)
+        ids = list(chain.from_iterable(map(known.__getitem__, words)))
+        for w in long:
+            del known[w]
+        if len(known) > REMEMBERED:
+            known.clear()
+        return ids
 
     def encode(self, text: str | None) -> list[int]:
         self._tables  # noqa: B018
@@ -186,23 +198,28 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
 
 def tokenized(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """`docs` with ids (array<int>), n_tokens and decoded_sha256, each replacing a column of its name."""
-    shared = _shared(docs, vocabulary)
+    """`docs` with ids (array<int>), n_tokens and decoded_sha256, each replacing a column of its name.
 
-    @F.pandas_udf("ids array<int>, decoded_sha256 string")
-    def encoded(texts: pd.Series) -> pd.DataFrame:
-        ids, digests = [], []
-        for text in texts:
-            own = shared.value.encode(text)
-            digests.append(_digest(shared.value.decode(own)))
-            ids.append(np.array(own, np.int32))  # a batch of lists would take several times the room
-        return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded_sha256": digests})
-
-    name = fresh("encoded")
-    rows = docs.withColumn(name, encoded("text"))
-    added = {
-        "ids": F.col(f"{name}.ids"),
-        "n_tokens": F.size(f"{name}.ids").cast("long"),
-        "decoded_sha256": F.col(f"{name}.decoded_sha256"),
-    }
-    return rows.withColumns(added).drop(name)
+    Texts are taken a few at a time from what Spark hands over, so that a worker never holds the
+    strings and ids of a whole batch.
+    """
+    shared = _shared(docs, vocabulary)
+    own = docs.drop("ids", "n_tokens", "decoded_sha256")
+    empty = own.limit(0).select("*", *[F.lit(None).cast(t).alias(n) for n, t in ADDED.items()])
+    at_text = own.columns.index("text")
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(first, TEXTS_AT_ONCE)
+                ids, ends, digests = array("i"), [0], []
+                for text in part.column(at_text):
+                    found = shared.value.encode(text.as_py())
+                    digests.append(_digest(shared.value.decode(found)))
+                    ids.extend(found)
+                    ends.append(len(ids))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32), pa.int32()))
+                added = [lists, pa.array(np.diff(ends), pa.int64()), pa.array(digests, pa.string())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *added], names=[*part.schema.names, *ADDED])
+
+    return own.mapInArrow(encoded, empty.schema)

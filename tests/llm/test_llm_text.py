@@ -229,6 +229,20 @@ def test_wrapper_is_a_regular_expression():
     assert wrapper.expression() == "<page><ul>(<li>#</li>)+</ul>(<div>y</div>)?<p>same</p>(<h2>x</h2>)?</page>"
 
 
+def texts_of(spark, pages):
+    """Main texts by page_id of (page_id, host, html)."""
+    rows = [(k, None if host is None else f"http://{host}/{k}", page) for k, host, page in pages]
+    return {r.page_id: r.text for r in html_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_template_inside_articles(spark):
+    """What every page of a host has in its article is template; pages without article tags use the host's template, too."""
+    post = "<article><h1>T{0}</h1><div class='zq'>Read our terms</div><p>The story of day {0}, told at some length</p><p>Same for all</p></article>"
+    bare = "<body><div>Welcome to all</div><p>Story {0}</p></body>"
+    found = texts_of(spark, [(k, "e.org", (post if k < 4 else bare).format(k)) for k in range(8)])
+    assert found == {k: f"T{k} The story of day {k}, told at some length" if k < 4 else f"Story {k}" for k in range(8)}
+
+
 def test_documents_pages_of_the_data(spark):
     """Pages of the test tables: what stands between the article tags, tags removed."""
     for r in queries.op6_html_text(spark, SF).join(spark.read.parquet(f"{SF}/pages.parquet"), ["page_id", "url"]).collect():

@@ -6,26 +6,26 @@ one after the other. Elements that stand in a row under the same name become a r
 elements that one side lacks an optional one, texts that differ a slot; a text that stays the
 same on every page is part of the template.
 
-The wrapper tells where the host's article lies and which texts outside of one are template.
-Wrappers come from a bounded number of pages of each host; every page is then read whole.
+Extraction takes the wrapper's constants from all pages of the host: pages are aligned by the paths
+of their elements, and a text that every page with its path has there is template, inside an article
+as well as outside. The lists of tags and classes below hide what differs from page to page and
+hosts with too few pages. infer() aligns pages part by part and writes the wrapper out.
 """
 
 from __future__ import annotations
 
 import html
-import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import sent_if_small, write_table
 
-#: Pages that the wrapper of a host is inferred from at most; those whose page_id hashes lowest.
-SAMPLE_PAGES = 8
 #: Pages on which a text must be the same to be template.
 MIN_TEMPLATE_PAGES = 3
 #: Hosts whose wrappers are broadcast at most; beyond, pages and wrappers are shuffled by host.
@@ -239,23 +239,6 @@ def infer(pages: list[str]) -> Part:
     return wrapper
 
 
-def reading(wrapper: Part) -> dict:
-    """What extraction needs of a wrapper: has it an article, and its template texts by path."""
-    template: list[list[str]] = []
-    article = False
-    todo = [(wrapper, "")]
-    while todo:
-        part, path = todo.pop()
-        for p in part.parts:
-            if not p.name:
-                if p.constant and p.pages >= MIN_TEMPLATE_PAGES and not p.repeated:
-                    template.append([path, p.constant])
-                continue
-            article |= p.name.split(".")[0] in ARTICLE
-            todo.append((p, f"{path}/{p.name}"))
-    return {"article": article, "template": [] if article else sorted(template)}
-
-
 def _articles(node: Element) -> Iterator[Element]:
     """Outermost shown articles, or the outermost main element."""
     for child in node.children:
@@ -266,19 +249,34 @@ def _articles(node: Element) -> Iterator[Element]:
                 yield from _articles(child)
 
 
-def extract(page: str | None, known: dict | None = None) -> str:
-    """The article's blocks in page order, joined by a space; `known` as of reading()."""
+def _regions(root: Element) -> list[Element]:
+    """The articles of a page, those in a main element before the element itself; none: no regions."""
+    regions: list[Element] = []
+    for region in _articles(root):
+        inner = [a for a in _articles(region)] if region.tag == "main" else []
+        regions += inner or [region]
+    return regions
+
+
+def blocks_of(page: str | None) -> list[tuple[str, str]]:
+    """(path, text) of a page's blocks in page order: those of its articles, of the whole page if it has none.
+
+    Paths begin at the article, or at the root with a slash.
+    """
     root = parse(page)
-    if known is None or known["article"]:
-        regions = []
-        for region in _articles(root):
-            inner = [a for a in _articles(region)] if region.tag == "main" else []
-            regions += inner or [region]
-        blocks = [text for r in regions for _, text in _blocks(r)]
-        if blocks or regions:
-            return " ".join(blocks)
-    template = {tuple(t) for t in known["template"]} if known else set()
-    return " ".join(text for path, text in _blocks(root) if (path, text) not in template)
+    regions = _regions(root)
+    return [b for r in regions for b in _blocks(r, r.tag)] if regions else list(_blocks(root))
+
+
+def number(*values: str) -> int:
+    """64 bits, signed."""
+    return xxhash.xxh64_intdigest("\0".join(values).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def extract(page: str | None, template: Iterable[int] = ()) -> str:
+    """The text that is not template, in page order, joined by a space; `template` as of wrappers()."""
+    known = set(template)
+    return " ".join(text for path, text in blocks_of(page) if not known or number(path, text) not in known)
 
 
 def host_of(url: Column) -> Column:
@@ -286,35 +284,59 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
-def wrappers(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
-    """(host, wrapper, known): the wrapper of each host as an expression, and reading() of it as JSON."""
-    own = pages.where(F.length("html") > 0).select("page_id", host_of(F.col("url")).alias("host"), "html")
-    lowest = Window.partitionBy("host").orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html"))
-    # ranks beyond the bound are cut within each task, before the pages of a host meet
-    sample = own.withColumn("rank", F.row_number().over(lowest)).where(F.col("rank") <= sample_pages)
-
-    def inferred(group: pd.DataFrame) -> pd.DataFrame:
-        wrapper = infer(group.sort_values("rank")["html"].tolist())
-        row = (group["host"].iloc[0], wrapper.expression(), json.dumps(reading(wrapper)))
-        return pd.DataFrame([row], columns=["host", "wrapper", "known"])
-
-    return sample.groupBy("host").applyInPandas(inferred, "host string, wrapper string, known string")
+def wrappers(pages: DataFrame) -> DataFrame:
+    """(host, template): the constants of each host's wrapper, as number() of path and text.
 
+    All pages of a host are read. A text is a constant if each page that has its path has the text
+    there, and MIN_TEMPLATE_PAGES pages at least; any other text fills a slot. Where constants are
+    more than half of the text inside a host's articles, these are versions of one article: none
+    of its text is template.
+    """
 
-def main_texts(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
+    @F.pandas_udf("array<struct<path: long, pair: long, inside: int>>")
+    def found(pages: pd.Series) -> pd.Series:
+        def of(page: str) -> list[dict]:
+            rows, paths = [], {}
+            for path, text in set(blocks_of(page)):
+                inside = 0 if path.startswith("/") or not path else len(text)
+                paths[path] = paths.get(path, 0) + inside
+                rows.append({"path": number(path), "pair": number(path, text), "inside": inside})
+            # a null pair stands for the path itself
+            return rows + [{"path": number(p), "pair": None, "inside": n} for p, n in paths.items()]
+
+        return pd.Series([of(p) for p in pages], dtype=object)
+
+    own = pages.where(F.length("html") > 0).select(host_of(F.col("url")).alias("host"), found("html").alias("found"))
+    # counted within each task before the rows of a host meet
+    counts = own.select("host", F.inline("found")).groupBy("host", "path", "pair").agg(
+        F.count("*").alias("pages"), F.sum("inside").alias("inside")
+    )
+    often = write_table(counts.where(F.col("pair").isNull() | (F.col("pages") >= MIN_TEMPLATE_PAGES)), "texts")
+    paths = often.where("pair IS NULL").select("host", "path", "pages")
+    constants = often.where("pair IS NOT NULL").join(paths, ["host", "path", "pages"])
+    whole = often.where("pair IS NULL").groupBy("host").agg(F.sum("inside").alias("whole"))
+    by_host = constants.groupBy("host").agg(
+        F.sum("inside").alias("constant"),
+        F.collect_set("pair").alias("template"),
+        F.collect_set(F.when(F.col("inside") == 0, F.col("pair"))).alias("outside"),
+    )
+    template = F.when(2 * F.col("constant") <= F.col("whole"), F.col("template")).otherwise(F.col("outside"))
+    return by_host.join(whole, "host").select("host", template.alias("template"))
+
+
+def main_texts(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text (empty if there is none), n_chars.
 
     Null html is empty; a null url or one without host counts as a host of its own. Repeated rows
     are repeated in the result. Other columns of `pages` are not read. Empty table: no rows.
     """
-    known = write_table(wrappers(pages, sample_pages).select("host", "known"), "wrappers")
+    known = write_table(wrappers(pages), "wrappers")
     own = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
 
     @F.pandas_udf("string")
-    def text(page: pd.Series, known: pd.Series) -> pd.Series:
-        read = {k: json.loads(k) for k in known.dropna().unique()}
-        return pd.Series([extract(p, read.get(k)) for p, k in zip(page, known)], dtype=object)
+    def text(pages: pd.Series, templates: pd.Series) -> pd.Series:
+        return pd.Series([extract(p, () if t is None else t) for p, t in zip(pages, templates)], dtype=object)
 
     joined = own.join(sent_if_small(known, MAX_BROADCAST_HOSTS), "host", "left")
-    out = joined.select("page_id", "url", text("html", "known").alias("text"))
+    out = joined.select("page_id", "url", text("html", "template").alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))

@@ -243,6 +243,18 @@ def test_template_inside_articles(spark):
     assert found == {k: f"T{k} The story of day {k}, told at some length" if k < 4 else f"Story {k}" for k in range(8)}
 
 
+def test_names_do_not_hide_articles(spark):
+    layout = "<body><div class='layout has-sidebar'><article><p class='share-price'>Price {0}</p><div id='search-results'>Hits {0}</div></article></div></body>"
+    form = "<body><form id='f'><h1>Head {0}</h1><p>Whole page {0}</p></form></body>"
+    menu = "<body><div class='menu'><main><p>Main {0}</p></main></div><aside>Side</aside></body>"
+    other = "<body><article>Post<div class='comments'><article>Reply</article></div></article><nav><article>Teaser</article></nav></body>"
+    pages = [(k, f"h{k}.org", page.format(k)) for k, page in enumerate([layout, form, menu, other])]
+    pages += [(4 + k, "i.org", f"<article><p>Text {k} of the article</p><div class='ad-box'>Buy</div></article>") for k in range(3)]
+    found = texts_of(spark, pages)
+    assert [found[k] for k in range(4)] == ["Price 0 Hits 0", "Head 1 Whole page 1", "Main 2", "Post"]
+    assert [found[4 + k] for k in range(3)] == [f"Text {k} of the article" for k in range(3)]
+
+
 def test_documents_pages_of_the_data(spark):
     """Pages of the test tables: what stands between the article tags, tags removed."""
     for r in queries.op6_html_text(spark, SF).join(spark.read.parquet(f"{SF}/pages.parquet"), ["page_id", "url"]).collect():

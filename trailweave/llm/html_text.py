@@ -51,7 +51,7 @@ HIDDEN = frozenset(
     "input label dialog nav header footer aside form menu".split()
 )
 HIDDEN_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert form toolbar".split())
-#: Words of class and id that mark what is not the article.
+#: Names (whole class tokens and ids) that mark what is not the article; as words of a class, only of texts that are constant.
 HIDDEN_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner banners sponsor sponsored promo promotion sidebar menu nav "
     "navbar navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent gdpr notice notices notification "
@@ -84,7 +84,7 @@ class Element:
             if "class" in names:
                 self.key = f"{tag}.{names['class'].strip()}"
             if tag not in ("html", "body", "article", "main"):
-                words = {w.lower() for k in ("class", "id") for w in _NAME_WORDS.findall(html.unescape(names.get(k, "")))}
+                words = {w for k in ("class", "id") for w in html.unescape(names.get(k, "")).lower().split()}
                 self.hidden |= bool(words & HIDDEN_WORDS) or names.get("role", "").lower() in HIDDEN_ROLES
 
 
@@ -239,31 +239,52 @@ def infer(pages: list[str]) -> Part:
     return wrapper
 
 
-def _articles(node: Element) -> Iterator[Element]:
-    """Outermost shown articles, or the outermost main element."""
+def _articles(node: Element, hidden: bool = False) -> Iterator[Element]:
+    """Outermost articles, or the outermost main element; with `hidden` those in hidden elements, too."""
     for child in node.children:
-        if isinstance(child, Element) and not child.hidden:
+        if isinstance(child, Element) and (hidden or not child.hidden):
             if child.tag in ARTICLE:
                 yield child
             else:
-                yield from _articles(child)
+                yield from _articles(child, hidden)
 
 
 def _regions(root: Element) -> list[Element]:
-    """The articles of a page, those in a main element before the element itself; none: no regions."""
+    """The articles of a page, those in a main element before the element itself; none: no regions.
+
+    Articles in hidden elements count if there are no others: comments and teasers are articles, too.
+    """
     regions: list[Element] = []
-    for region in _articles(root):
-        inner = [a for a in _articles(region)] if region.tag == "main" else []
+    for region in list(_articles(root)) or list(_articles(root, hidden=True)):
+        inner = list(_articles(region)) if region.tag == "main" else []
+        if region.tag == "main" and not inner and not any(_blocks(region)):
+            inner = list(_articles(region, hidden=True))
         regions += inner or [region]
     return regions
 
 
+def _open_forms(node: Element) -> bool:
+    """Shows forms around a whole page, those with its main heading or article; whether `node` has one."""
+    found = node.tag == "h1" or node.tag in ARTICLE
+    for child in node.children:
+        found |= isinstance(child, Element) and _open_forms(child)
+    if found and node.tag == "form":
+        node.hidden = False
+    return found
+
+
+def _listed(path: str) -> bool:
+    """Has a class on the path a word that marks what is not the article?"""
+    return any(w.lower() in HIDDEN_WORDS for key in path.split("/") for w in _NAME_WORDS.findall(key.partition(".")[2]))
+
+
 def blocks_of(page: str | None) -> list[tuple[str, str]]:
     """(path, text) of a page's blocks in page order: those of its articles, of the whole page if it has none.
 
     Paths begin at the article, or at the root with a slash.
     """
     root = parse(page)
+    _open_forms(root)
     regions = _regions(root)
     return [b for r in regions for b in _blocks(r, r.tag)] if regions else list(_blocks(root))
 
@@ -290,7 +311,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
     All pages of a host are read. A text is a constant if each page that has its path has the text
     there, and MIN_TEMPLATE_PAGES pages at least; any other text fills a slot. Where constants are
     more than half of the text inside a host's articles, these are versions of one article: none
-    of its text is template.
+    of its text is template but what stands under a listed name.
     """
 
     @F.pandas_udf("array<struct<path: long, pair: long, inside: int>>")
@@ -298,7 +319,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
         def of(page: str) -> list[dict]:
             rows, paths = [], {}
             for path, text in set(blocks_of(page)):
-                inside = 0 if path.startswith("/") or not path else len(text)
+                inside = 0 if path.startswith("/") or not path or _listed(path) else len(text)
                 paths[path] = paths.get(path, 0) + inside
                 rows.append({"path": number(path), "pair": number(path, text), "inside": inside})
             # a null pair stands for the path itself

@@ -255,6 +255,15 @@ def test_names_do_not_hide_articles(spark):
     assert [found[4 + k] for k in range(3)] == [f"Text {k} of the article" for k in range(3)]
 
 
+def test_copies_make_no_template(spark):
+    page = "<body><h2>Head</h2><div>One story</div><p>of many</p></body><!-- {0} -->"
+    alike = "<body><h2>Head {0}</h2><div>By the same author</div></body>"
+    pages = [(k, "j.org", page.format(k)) for k in range(4)] + [(4 + k, None, alike.format(k)) for k in range(3)]
+    found = texts_of(spark, pages)
+    assert [found[k] for k in range(4)] == ["Head One story of many"] * 4
+    assert [found[4 + k] for k in range(3)] == [f"Head {k} By the same author" for k in range(3)]
+
+
 def test_documents_pages_of_the_data(spark):
     """Pages of the test tables: what stands between the article tags, tags removed."""
     for r in queries.op6_html_text(spark, SF).join(spark.read.parquet(f"{SF}/pages.parquet"), ["page_id", "url"]).collect():

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import sent_if_small, write_table
 
-#: Pages on which a text must be the same to be template.
+#: Pages, different ones, on which a text must be the same to be template.
 MIN_TEMPLATE_PAGES = 3
 #: Hosts whose wrappers are broadcast at most; beyond, pages and wrappers are shuffled by host.
 MAX_BROADCAST_HOSTS = 20_000
@@ -308,28 +308,33 @@ def host_of(url: Column) -> Column:
 def wrappers(pages: DataFrame) -> DataFrame:
     """(host, template): the constants of each host's wrapper, as number() of path and text.
 
-    All pages of a host are read. A text is a constant if each page that has its path has the text
-    there, and MIN_TEMPLATE_PAGES pages at least; any other text fills a slot. Where constants are
+    All pages of a host are read; pages with the same texts count once, as only pages that differ
+    elsewhere tell what is constant. Pages without a host have no template: they may be of any. A
+    text is a constant if each page that has its path has the text there, and MIN_TEMPLATE_PAGES
+    pages at least; any other text fills a slot. Where constants are
     more than half of the text inside a host's articles, these are versions of one article: none
     of its text is template but what stands under a listed name.
     """
 
-    @F.pandas_udf("array<struct<path: long, pair: long, inside: int>>")
-    def found(pages: pd.Series) -> pd.Series:
-        def of(page: str) -> list[dict]:
+    @F.pandas_udf("page long, texts array<struct<path: long, pair: long, inside: int>>")
+    def found(pages: pd.Series) -> pd.DataFrame:
+        def of(page: str) -> tuple[int, list[dict]]:
+            blocks = blocks_of(page)
             rows, paths = [], {}
-            for path, text in set(blocks_of(page)):
+            for path, text in set(blocks):
                 inside = 0 if path.startswith("/") or not path or _listed(path) else len(text)
                 paths[path] = paths.get(path, 0) + inside
                 rows.append({"path": number(path), "pair": number(path, text), "inside": inside})
             # a null pair stands for the path itself
-            return rows + [{"path": number(p), "pair": None, "inside": n} for p, n in paths.items()]
+            rows += [{"path": number(p), "pair": None, "inside": n} for p, n in paths.items()]
+            return number(*(v for b in blocks for v in b)), rows
 
-        return pd.Series([of(p) for p in pages], dtype=object)
+        return pd.DataFrame([of(p) for p in pages], columns=["page", "texts"])
 
-    own = pages.where(F.length("html") > 0).select(host_of(F.col("url")).alias("host"), found("html").alias("found"))
+    own = pages.where(F.length("html") > 0).select(host_of(F.col("url")).alias("host"), "html").where("host <> ''")
+    own = own.select("host", found("html").alias("found")).select("host", "found.*").dropDuplicates(["host", "page"])
     # counted within each task before the rows of a host meet
-    counts = own.select("host", F.inline("found")).groupBy("host", "path", "pair").agg(
+    counts = own.select("host", F.inline("texts")).groupBy("host", "path", "pair").agg(
         F.count("*").alias("pages"), F.sum("inside").alias("inside")
     )
     often = write_table(counts.where(F.col("pair").isNull() | (F.col("pages") >= MIN_TEMPLATE_PAGES)), "texts")
@@ -348,7 +353,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
 def main_texts(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text (empty if there is none), n_chars.
 
-    Null html is empty; a null url or one without host counts as a host of its own. Repeated rows
+    Null html is empty; a page whose url is null or has no host has no template. Repeated rows
     are repeated in the result. Other columns of `pages` are not read. Empty table: no rows.
     """
     known = write_table(wrappers(pages), "wrappers")

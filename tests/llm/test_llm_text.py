@@ -264,6 +264,16 @@ def test_copies_make_no_template(spark):
     assert [found[4 + k] for k in range(3)] == [f"Head {k} By the same author" for k in range(3)]
 
 
+def test_every_kind_of_page_has_its_template(spark):
+    """Whatever the host's other pages, which share paths with the rare kind."""
+    often = "<body><div>Welcome</div><p>Story {0}</p></body>"
+    rare = "<body><div>Our shop</div><h2>Thing {0}</h2></body>"
+    article = "<body><div>Welcome</div><article><p>Article {0}</p></article></body>"
+    pages = [(k, "k.org", (rare if k < 3 else article if k == 3 else often).format(k)) for k in range(40)]
+    found = texts_of(spark, pages)
+    assert [found[k] for k in range(5)] == ["Thing 0", "Thing 1", "Thing 2", "Article 3", "Story 4"]
+
+
 def test_documents_pages_of_the_data(spark):
     """Pages of the test tables: what stands between the article tags, tags removed."""
     for r in queries.op6_html_text(spark, SF).join(spark.read.parquet(f"{SF}/pages.parquet"), ["page_id", "url"]).collect():

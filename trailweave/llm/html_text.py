@@ -311,12 +311,13 @@ def wrappers(pages: DataFrame) -> DataFrame:
     All pages of a host are read; pages with the same texts count once, as only pages that differ
     elsewhere tell what is constant. Pages without a host have no template: they may be of any. A
     text is a constant if each page that has its path has the text there, and MIN_TEMPLATE_PAGES
-    pages at least; any other text fills a slot. Where constants are
+    pages at least; any other text fills a slot. On pages without an article, which have paths in
+    common more often, it also is one if this holds among the pages of the same paths. Where constants are
     more than half of the text inside a host's articles, these are versions of one article: none
     of its text is template but what stands under a listed name.
     """
 
-    @F.pandas_udf("page long, texts array<struct<path: long, pair: long, inside: int>>")
+    @F.pandas_udf("page long, texts array<struct<kind: long, path: long, pair: long, inside: int>>")
     def found(pages: pd.Series) -> pd.DataFrame:
         def of(page: str) -> tuple[int, list[dict]]:
             blocks = blocks_of(page)
@@ -324,9 +325,12 @@ def wrappers(pages: DataFrame) -> DataFrame:
             for path, text in set(blocks):
                 inside = 0 if path.startswith("/") or not path or _listed(path) else len(text)
                 paths[path] = paths.get(path, 0) + inside
-                rows.append({"path": number(path), "pair": number(path, text), "inside": inside})
+                rows.append({"kind": 0, "path": number(path), "pair": number(path, text), "inside": inside})
             # a null pair stands for the path itself
-            rows += [{"path": number(p), "pair": None, "inside": n} for p, n in paths.items()]
+            rows += [{"kind": 0, "path": number(p), "pair": None, "inside": n} for p, n in paths.items()]
+            if any(p.startswith("/") or not p for p in paths):
+                kind = number(*sorted(paths))
+                rows += [row | {"kind": kind} for row in rows]
             return number(*(v for b in blocks for v in b)), rows
 
         return pd.DataFrame([of(p) for p in pages], columns=["page", "texts"])
@@ -334,12 +338,12 @@ def wrappers(pages: DataFrame) -> DataFrame:
     own = pages.where(F.length("html") > 0).select(host_of(F.col("url")).alias("host"), "html").where("host <> ''")
     own = own.select("host", found("html").alias("found")).select("host", "found.*").dropDuplicates(["host", "page"])
     # counted within each task before the rows of a host meet
-    counts = own.select("host", F.inline("texts")).groupBy("host", "path", "pair").agg(
+    counts = own.select("host", F.inline("texts")).groupBy("host", "kind", "path", "pair").agg(
         F.count("*").alias("pages"), F.sum("inside").alias("inside")
     )
     often = write_table(counts.where(F.col("pair").isNull() | (F.col("pages") >= MIN_TEMPLATE_PAGES)), "texts")
-    paths = often.where("pair IS NULL").select("host", "path", "pages")
-    constants = often.where("pair IS NOT NULL").join(paths, ["host", "path", "pages"])
+    paths = often.where("pair IS NULL").select("host", "kind", "path", "pages")
+    constants = often.where("pair IS NOT NULL").join(paths, ["host", "kind", "path", "pages"])
     whole = often.where("pair IS NULL").groupBy("host").agg(F.sum("inside").alias("whole"))
     by_host = constants.groupBy("host").agg(
         F.sum("inside").alias("constant"),

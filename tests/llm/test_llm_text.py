@@ -125,6 +125,16 @@ def test_transducers():
     assert kinds("") == kinds(None) == kinds("fine words") == set()
 
 
+def test_negated_and_reported_insults_are_no_insults():
+    """All features come from what the transducers emit: a word counts as an insult only where it is one."""
+    grammar = toxicity.Grammar(frozenset({"oaf", "twit"}))
+    at = len(toxicity.CLAUSES)
+    assert grammar.features("an oaf and a twit, an oaf")[at:] == pytest.approx(np.log1p([3, 2, 15]))
+    for text in ("not an oaf. never a twit", "she said oaf and twit", "he called them no oaf"):
+        assert grammar.features(text)[at:] == [0, 0, 0]
+    assert grammar.features("she said twit. an oaf")[at:] == pytest.approx(np.log1p([1, 1, 5]))
+
+
 def plain_held(doc_id, mod, rest):
     return zlib.crc32(str(doc_id).encode()) % mod == rest
 

@@ -2,9 +2,10 @@
 
 Words become symbols (insult, threat, target, negation, reported speech, clause end, other). A
 negation transducer rewrites insults and threats within its scope, a reported-speech transducer
-those that follow a verb of saying, and the clause grammar reads what is left up to the clause's
-end and emits the kind of clause. The three are composed into one table at start. A text's score
-is the logistic of the weighted counts of its clause kinds.
+those that follow a verb of saying, and the clause grammar passes marked harm on, reads up to the
+clause's end and emits the kind of clause. The three are composed into one table at start. A text's
+score is the logistic of the weighted counts of its clause kinds and of the insults that were
+emitted unmarked, neither negated nor reported.
 
 Which words are insults, and the weights of the clause kinds, are learned from labelled rows.
 The other word classes are fixed lists of function words.
@@ -112,7 +113,7 @@ CLAUSES = [f"{h}{at}" for h in HARMS for at in ("", " at target")]
 
 
 def clause_grammar() -> Transducer:
-    """Emits a clause's kind at its end, or nothing (an empty string) for a clause without harm."""
+    """Emits each harm as marked and a clause's kind at its end, or nothing (an empty string) for one without harm."""
     order = {h: k for k, h in enumerate(HARMS)}  # earlier is stronger
     states = [(h, t) for h in (None, *HARMS) for t in (False, True)]
     number = {s: k for k, s in enumerate(states)}
@@ -124,7 +125,7 @@ def clause_grammar() -> Transducer:
                 continue
             stronger = symbol in order and (harm is None or order[symbol] < order[harm])
             after = (symbol if stronger else harm, aimed or symbol == TARGET)
-            table[number[harm, aimed], symbol] = (number[after], "")
+            table[number[harm, aimed], symbol] = (number[after], symbol if symbol in order else "")
     return Transducer(table)
 
 
@@ -149,23 +150,25 @@ class Grammar:
         return word in self.words or any(word[:k] in self.stems for k in STEMS if len(word) >= k)
 
     def features(self, text: str | None) -> list[float]:
-        """Logarithms of: clauses of each kind, insults, different insults, insults per hundred words."""
+        """Logarithms of: clauses of each kind; insults neither negated nor reported, different ones, those per hundred words."""
         tokens = _TOKENS.findall((text or "").lower())
         insults = {t for t in set(tokens) if self.is_insult(t)} if self.words or self.stems else set()
         counts: Counter[str] = Counter()
-        classes, machine, state, n, hits = self._classes, self._machine, 0, 0, 0
+        clear: Counter[str] = Counter()
+        classes, machine, state, n = self._classes, self._machine, 0, 0
         for token in tokens:
-            if token in insults:
-                symbol, hits = INSULT, hits + 1
-            else:
-                symbol = classes.get(token, OTHER)
+            symbol = INSULT if token in insults else classes.get(token, OTHER)
             state, out = machine[state, symbol]
             n += symbol != END
-            if out:
-                counts[out] += 1
+            if symbol == END:
+                if out:
+                    counts[out] += 1
+            elif out == INSULT:
+                clear[token] += 1
         if out := machine[state, END][1]:
             counts[out] += 1
-        rest = [hits, len(insults), 100 * hits / max(n, 20)]
+        hits = clear.total()
+        rest = [hits, len(clear), 100 * hits / max(n, 20)]
         return [float(np.log1p(v)) for v in [*(counts[c] for c in CLAUSES), *rest]]
 
     def scores(self, rows: np.ndarray) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, language, line_dedup, mixing, quality, simhash, toxicity, url_filter
+from . import bpe, exact_dedup, html_text, language, line_dedup, mixing, piece_bpe, quality, simhash, toxicity, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -93,6 +93,11 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"))
 
 
+def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's piece count and the digests of its ids and of what they decode to."""
+    return piece_bpe.round_trip(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_mix": op10_mix,
+    "op11_piece_bpe": op11_piece_bpe,
 }
 
 # A-Z lower-cased only: translate() in both engines

@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, language, line_dedup, mixing, piece_bpe, quality, simhash, toxicity, url_filter
+from . import (
+    bpe,
+    conversation_repair,
+    exact_dedup,
+    html_text,
+    language,
+    line_dedup,
+    mixing,
+    piece_bpe,
+    quality,
+    simhash,
+    toxicity,
+    url_filter,
+)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -98,6 +111,11 @@ def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.round_trip(_read(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by rule, with its faults and the cheapest repair of its turns."""
+    return conversation_repair.damaged_and_repaired(_read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -110,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_mix": op10_mix,
     "op11_piece_bpe": op11_piece_bpe,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 # A-Z lower-cased only: translate() in both engines
@@ -172,4 +191,70 @@ ORACLE_SQL: dict[str, str] = {
                coalesce(n_entries, 0) AS n_entries, target, coalesce(lists, '') AS lists
         FROM captures LEFT JOIN judged USING (r)
     """,
+    # crc32 bit by bit, then a search row by row: of each state of the pattern the best (cost, audit)
+    "op12_conversation_repair": r"""
+        WITH RECURSIVE keyed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+                       list_prepend(4294967295, list_transform(
+                           string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                           lambda c: CAST(ascii(c) AS BIGINT))),
+                       lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+                           lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 20 AS kind
+            FROM conversations),
+        faulty AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM keyed, range(CASE WHEN kind = 3 THEN 2 ELSE 1 END) WHERE kind <> 0),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth,
+                   rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said
+            FROM faulty),
+        read AS (
+            SELECT *, left(role, 1) AS initial, said = '' AS blank, said <> '' AND nth > 1 AS duplicate,
+                   said <> '' AND nth = 1 AND right(said, 1) NOT IN ('.', '!', '?') AS truncated,
+                   lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before
+            FROM placed),
+        counted AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+                   count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+            FROM read GROUP BY conv_id),
+        gap(q, g, price, audit, lines) AS (VALUES
+            (0, 0, 0, '', ''), (0, 2, 3, 'I', chr(10) || 'user:'), (0, 3, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+            (1, 1, 0, '', ''), (1, 2, 3, 'I', chr(10) || 'user:'), (1, 3, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+            (2, 2, 0, '', ''), (2, 3, 3, 'I', chr(10) || 'assistant:'), (3, 3, 0, '', ''), (3, 2, 3, 'I', chr(10) || 'user:')),
+        move(g, initial, q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+        edit AS (
+            SELECT conv_id, pos, m.g, m.q, CASE WHEN truncated THEN 3 ELSE 0 END AS price, 'K' AS audit,
+                   chr(10) || role || ':' || text AS lines
+            FROM read JOIN move m USING (initial) WHERE NOT blank AND NOT duplicate
+            UNION ALL
+            SELECT conv_id, pos, m.g, m.q, CASE WHEN truncated THEN 6 ELSE 3 END, 'R',
+                   chr(10) || CASE m.initial WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || text
+            FROM read, move m WHERE NOT blank AND NOT duplicate AND m.initial IN ('u', 'a') AND m.initial <> read.initial
+            UNION ALL
+            SELECT conv_id, pos, g, g, 4, 'D', '' FROM read, range(4) AS states(g)),
+        step(conv_id, pos, q, found) AS (
+            SELECT conv_id, CAST(0 AS BIGINT), 0, {'cost': 0, 'audit': '', 'lines': ''} FROM counted
+            UNION ALL
+            SELECT s.conv_id, s.pos + 1, CAST(e.q AS INT), min({
+                'cost': s.found.cost + gap.price + e.price, 'audit': s.found.audit || gap.audit || e.audit,
+                'lines': s.found.lines || gap.lines || e.lines})
+            FROM step s JOIN gap ON gap.q = s.q
+            JOIN edit e ON e.conv_id IS NOT DISTINCT FROM s.conv_id AND e.pos = s.pos + 1 AND e.g = gap.g
+            GROUP BY ALL),
+        best AS (
+            SELECT s.conv_id, min({
+                'cost': s.found.cost + gap.price, 'audit': s.found.audit || gap.audit, 'lines': s.found.lines || gap.lines}) AS found
+            FROM step s JOIN counted c ON c.conv_id IS NOT DISTINCT FROM s.conv_id AND c.n = s.pos
+            JOIN gap ON gap.q = s.q AND gap.g IN (0, 3) GROUP BY s.conv_id)
+        SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+               CAST(coalesce(b.found.cost, 0) AS BIGINT) AS cost, coalesce(b.found.audit, '') AS audit,
+               sha256(coalesce(b.found.lines[2:], '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+    """,
 }

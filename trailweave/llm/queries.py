@@ -11,6 +11,7 @@ from . import (
     bpe,
     conversation_repair,
     exact_dedup,
+    hard_negatives,
     html_text,
     language,
     line_dedup,
@@ -116,6 +117,13 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.damaged_and_repaired(_read(spark, sf_dir, "conversations"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every hundredth vector, the rows of other labels that score high beside its best own ones; some labels are moved first."""
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.hard_negatives(_read(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -129,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mix": op10_mix,
     "op11_piece_bpe": op11_piece_bpe,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 # A-Z lower-cased only: translate() in both engines
@@ -257,4 +266,26 @@ ORACLE_SQL: dict[str, str] = {
         LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
         LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
     """,
+    "op13_hard_negatives": """
+        WITH v AS (
+            SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id, a.label = b.label AS own,
+                   CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.r <> b.r),
+        positive AS (
+            SELECT * FROM scored WHERE own
+            QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST, b) <= 5),
+        negative AS (
+            SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.vec_id NULLS LAST, n.b) AS rank
+            FROM positive p JOIN scored n ON n.a = p.a AND NOT n.own
+             AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+        SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score
+        FROM negative WHERE rank <= 10
+    """,
 }

@@ -60,7 +60,8 @@ def test_pair_test_agrees_with_merging(codec):
 
 def test_every_prefix_has_the_last_token_of_its_own_encoding(codec):
     for text in ["▁unbelievable▁▁▁▁▁things", "▁▁▁▁▁▁▁a", "▁aaaaaaaaaa"]:
-        assert codec.last_tokens(text) == [codec.merged(text[: k + 1])[-1][0] for k in range(len(text))]
+        found = [codec.symbols[number] for number in codec.last_tokens(text)]
+        assert found == [codec.merged(text[: k + 1])[-1][0] for k in range(len(text))]
 
 
 @pytest.mark.parametrize("unit", [" ", "a", "=", "日", "ab\n", "the "])

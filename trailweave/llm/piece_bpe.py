@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import re
+from collections.abc import Iterator
 from functools import cached_property
 from itertools import chain
 
@@ -22,7 +24,6 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import public_tokenizers
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,20 +56,41 @@ class Codec:
         ranks = {score: rank for rank, score in enumerate(sorted({self.scores[i] for i in normal}, reverse=True))}
         self.rank = {self.pieces[i]: ranks[self.scores[i]] for i in normal}
         self.bytes = {int(self.pieces[i][1:-1], 16): i for i, kind in enumerate(self.kinds) if kind == BYTE}
+        # the bytes that each id stands for
+        self.raw = [self._raw(piece, kind) for piece, kind in zip(self.pieces, self.kinds, strict=True)]
         # the two symbols that a piece is merged from; pieces that no merge leads to never come out
         self.parts = {piece: parts for piece in self.ids if (parts := self._made_of(piece))}
         symbols = {*self.parts, *chain.from_iterable(self.ids)}
         self.rights = {symbol: self._edge(symbol, 1) for symbol in symbols}
         self.lefts = {symbol: self._edge(symbol, 0) for symbol in symbols}
+        # numbers for the pass forward: a symbol's own, from 1 on
+        self.symbols = ["", *self.rights]
         self.automaton = ahocorasick.Automaton()
-        for symbol in symbols:
-            self.automaton.add_word(symbol, symbol)
+        for number, symbol in enumerate(self.symbols[1:], 1):
+            self.automaton.add_word(symbol, (len(symbol), number))
         self.automaton.make_automaton()
-        # a text falls into parts before each run of spaces unless some piece has a space after another character
-        whole = any(SPACE in piece.lstrip(SPACE) for piece in self.ids)
-        self.cut = regex.compile("(?s).+" if whole else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self.numbers = [self._ids_of(symbol) for symbol in self.symbols]
+        self.cut = next(cut for cut in self._cuts() if all(map(cut.fullmatch, self.ids)))
         self.known: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
+
+    @staticmethod
+    def _raw(piece: str, kind: int) -> bytes:
+        if kind == BYTE:
+            return bytes([int(piece[1:-1], 16)])
+        return b"" if kind == CONTROL else (UNKNOWN_TEXT if kind == UNKNOWN else piece.replace(SPACE, " ")).encode("utf-8")
+
+    def _cuts(self) -> Iterator[re.Pattern]:
+        """Ways to cut a text, from fine to coarse; one serves if no piece reaches over its parts.
+
+        Parts are letters or other characters, each with the spaces before; then all but spaces;
+        then the whole text.
+        """
+        signs = "".join(sorted({c for c in chain.from_iterable(self.ids) if c.isalnum() and not c.isalpha()}))
+        letters, others = rf"[^\W\d_{re.escape(signs)}]+", rf"(?:[^\w{SPACE}]|[\d_{re.escape(signs)}])+"
+        yield re.compile(f"{SPACE}*(?:{letters}|{others})|{SPACE}+")
+        yield re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        yield re.compile("(?s:.+)")
 
     def merged(self, text: str) -> list[tuple[str, tuple[str, str] | None]]:
         """The symbols that merging by rank leaves of a short text, each with the last two parts it was made of."""
@@ -132,36 +154,45 @@ class Codec:
                         return False
         return True
 
-    def _beside(self, left: str, right: str) -> bool:
-        if left not in self.rights or right not in self.lefts:
-            return True  # characters that no piece holds
-        found = self.pairs.get((left, right))
-        if found is None:
-            if len(self.pairs) >= REMEMBERED_PAIRS:
-                self.pairs.clear()
-            found = self.pairs[left, right] = self.beside(left, right)
-        return found
-
-    def last_tokens(self, text: str) -> list[str]:
-        """The last token of the encoding of each prefix of the text."""
-        last: list[str] = [""] * len(text)
-        for end, piece in self.automaton.iter(text):
-            start = end - len(piece)
-            # of the pieces that end here exactly one fits
-            if not last[end] and (start < 0 or self._beside(last[start] or text[start], piece)):
-                last[end] = piece
+    def last_tokens(self, text: str) -> list[int]:
+        """The number of the last token of the encoding of each prefix; 0 for a character that no piece holds."""
+        last, pairs, symbols = [0] * len(text), self.pairs, self.symbols
+        for end, (length, number) in self.automaton.iter(text):
+            if last[end]:
+                continue  # of the pieces that end here exactly one fits
+            start = end - length
+            if start >= 0 and (before := last[start]):
+                pair = before << 24 | number
+                beside = pairs.get(pair)
+                if beside is None:
+                    beside = pairs[pair] = self.beside(symbols[before], symbols[number])
+                if not beside:
+                    continue
+            last[end] = number
+        if len(pairs) > REMEMBERED_PAIRS:
+            pairs.clear()
         return last
 
+    def _ids_of(self, symbol: str) -> tuple[int, ...]:
+        """The id of a piece, or those of the bytes of a character that is none; last one first."""
+        number = self.ids.get(symbol)
+        return (number,) if number is not None else tuple(self.bytes[b] for b in reversed(symbol.encode("utf-8")))
+
     def _part(self, part: str) -> tuple[int, ...]:
         if part in self.parts:
             return (self.ids[part],)
-        last, at, found = self.last_tokens(part), len(part), []
-        while at > 0:
-            token = last[at - 1] or part[at - 1]
-            at -= len(token)
-            number = self.ids.get(token)
-            found.extend([number] if number is not None else [self.bytes[b] for b in reversed(token.encode("utf-8"))])
-        return tuple(reversed(found))
+        last, symbols, numbers = self.last_tokens(part), self.symbols, self.numbers
+        at, found = len(part) - 1, []
+        while at >= 0:
+            number = last[at]
+            if number:
+                found += numbers[number]
+                at -= len(symbols[number])
+            else:
+                found += self._ids_of(part[at])
+                at -= 1
+        found.reverse()
+        return tuple(found)
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of the whole text; null counts as empty, and empty text has none."""
@@ -169,15 +200,14 @@ class Codec:
         if not text:
             return []
         text = (SPACE if self.prefixed else "") + text.replace(" ", SPACE)
-        known, parts, long = self.known, self.cut.findall(text), []
-        for part in parts:
-            if part not in known:
-                known[part] = self._part(part)
-                if len(part) > REMEMBERED_LENGTH:
-                    long.append(part)
+        known, parts = self.known, self.cut.findall(text)
+        fresh = {*parts}.difference(known)
+        for part in fresh:
+            known[part] = self._part(part)
         ids = list(chain.from_iterable(map(known.__getitem__, parts)))
-        for part in long:
-            known.pop(part, None)
+        for part in fresh:
+            if len(part) > REMEMBERED_LENGTH:
+                del known[part]
         if len(known) > REMEMBERED:
             known.clear()
         return ids
@@ -185,9 +215,18 @@ class Codec:
     def decode(self, ids: list[int]) -> str:
         """The text of the ids: bytes are put together, others that form no character become U+FFFD each."""
         self._tables  # noqa: B018
+        try:
+            text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8")
+        except UnicodeDecodeError:  # bytes that form no character
+            return self._mended(ids)
+        # of the first piece that is no control piece, one space is what encoding had put there
+        first = next((i for i in ids if self.kinds[i] != CONTROL), None)
+        strip = self.prefixed and first is not None and self.kinds[first] == NORMAL and self.pieces[first][0] == SPACE
+        return text[1:] if strip else text
+
+    def _mended(self, ids: list[int]) -> str:
         found: list[str] = []
         raw = bytearray()
-        # of the first piece that is no control piece, one space is what encoding had put there
         first = self.prefixed
         for i in ids:
             kind = self.kinds[i]

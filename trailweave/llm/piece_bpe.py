@@ -78,7 +78,9 @@ class Codec:
     def _raw(piece: str, kind: int) -> bytes:
         if kind == BYTE:
             return bytes([int(piece[1:-1], 16)])
-        return b"" if kind == CONTROL else (UNKNOWN_TEXT if kind == UNKNOWN else piece.replace(SPACE, " ")).encode("utf-8")
+        if kind == CONTROL:
+            return b"\xff"  # no text: it parts the bytes beside it
+        return (UNKNOWN_TEXT if kind == UNKNOWN else piece.replace(SPACE, " ")).encode("utf-8")
 
     def _cuts(self) -> Iterator[re.Pattern]:
         """Ways to cut a text, from fine to coarse; one serves if no piece reaches over its parts.
@@ -217,11 +219,10 @@ class Codec:
         self._tables  # noqa: B018
         try:
             text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8")
-        except UnicodeDecodeError:  # bytes that form no character
+        except UnicodeDecodeError:  # control pieces, or bytes that form no character
             return self._mended(ids)
-        # of the first piece that is no control piece, one space is what encoding had put there
-        first = next((i for i in ids if self.kinds[i] != CONTROL), None)
-        strip = self.prefixed and first is not None and self.kinds[first] == NORMAL and self.pieces[first][0] == SPACE
+        # of the first piece, one space is what encoding had put there
+        strip = self.prefixed and ids and self.kinds[ids[0]] == NORMAL and self.pieces[ids[0]][0] == SPACE
         return text[1:] if strip else text
 
     def _mended(self, ids: list[int]) -> str:
@@ -318,7 +319,7 @@ def decode(rows: DataFrame, ids: str = "ids", model: str | None = None, name: st
 
     @F.pandas_udf("string")
     def text_of(lists: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.decode([] if i is None else i) for i in lists], dtype=object)
+        return pd.Series([shared.value.decode([] if i is None else [*i]) for i in lists], dtype=object)
 
     return rows.withColumn(name, text_of(ids))
 

@@ -101,4 +101,6 @@ class Deployment:
     def mart(self, name: str, **options) -> DataFrame:
         mart = MARTS[name]
         extra = [self.first_visits] if mart.needs_first_visits else []
+        if name == "product_performance" and options.get("incremental") and self.warehouse:
+            options["index"] = self.warehouse.session_index
         return mart.build(self.staged, self.sessions, *extra, self.cfg, **options)

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from trailweave.operators.incremental import merge_by_key, replace_window
 from trailweave.plans import first_visit, pages, quality, sessions, staging
 from trailweave.plans.pipeline import MARTS
 from trailweave.plans.rules import RULES
+from trailweave.plans.session_index import SessionIndex
 from trailweave.sources.export import uncovered_intraday
 from trailweave.streaming.intraday import read_intraday_stream, start_intraday_feed
 
@@ -338,7 +340,9 @@ def inc_stg_window(d: Deployment) -> DataFrame:
 @query
 def inc_sessions_window(d: Deployment) -> DataFrame:
     stored = sessions.sessions(_earlier(d), d.cfg)
-    fresh = sessions.sessions(d.staged, d.cfg, incremental=True, stored=stored)
+    index = SessionIndex(d.spark, f"{d.root}/earlier-{uuid4().hex}", d.cfg.session_buckets)
+    index.refresh(stored)
+    fresh = sessions.sessions(d.staged, d.cfg, incremental=True, index=index)
     return _sessions_out(replace_window(stored, fresh, "session_date", d.cfg.lookback_date))
 
 
@@ -358,10 +362,9 @@ def inc_merge_by_key(d: Deployment) -> DataFrame:
 def _window_run(name: str, column: str) -> Query:
     def run(d: Deployment) -> DataFrame:
         mart = MARTS[name]
-        extra = [d.first_visits] if mart.needs_first_visits else []
         was = [first_visit.first_visits(_earlier(d), d.cfg)] if mart.needs_first_visits else []
         stored = mart.build(_earlier(d), sessions.sessions(_earlier(d), d.cfg), *was, d.cfg)
-        fresh = mart.build(d.staged, d.sessions, *extra, d.cfg, incremental=True)
+        fresh = d.mart(name, incremental=True)
         return replace_window(stored, fresh, column, mart.boundary(d.cfg))
 
     return run

@@ -18,6 +18,9 @@ class EngineConfig:
     min_volume_vs_median_pct: float = 5.0
     # versions that whole-table snapshots keep, the newest included
     keep_snapshots: int = 3
+    # buckets of the session index and of first visits: about their bytes over 128 MB; fixed once a warehouse is built
+    session_buckets: int = 16
+    user_buckets: int = 32
     # list-page report ignores events from this date on; None keeps all of them
     plp_until_date: date | None = None
 

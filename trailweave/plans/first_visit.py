@@ -9,6 +9,7 @@ from ..config import EngineConfig
 from ..functions import metrics as m
 from ..functions.calendar import week_start
 from ..operators.incremental import since
+from ..operators.versions import VersionedTable, bucket_of, touched
 
 FIRST_VISIT = "user_pseudo_id string, first_visit_date date, first_visit_week date"
 
@@ -40,3 +41,28 @@ def _earliest(dates: DataFrame, cfg: EngineConfig) -> DataFrame:
         .agg(F.min("first_visit_date").alias("first_visit_date"))
         .withColumn("first_visit_week", week_start(F.col("first_visit_date"), cfg.week_start_day))
     )
+
+
+def commit_first_visits(table: VersionedTable, fresh: DataFrame, cfg: EngineConfig, incremental: bool = False) -> None:
+    """Store ``fresh`` in buckets of the user; an incremental run rewrites those in which something changes.
+
+    Stored users are looked up in the buckets of the fresh ones, by user and date alone. Most users
+    seen in a window are known with an earlier date and change nothing.
+    """
+    user, buckets = "user_pseudo_id", cfg.user_buckets
+    fresh = fresh.withColumn("bucket", bucket_of(user, buckets))
+    if not incremental:
+        table.commit(fresh)
+        return
+    stored = table.read()
+    near = stored.where(F.col("bucket").isin(list(touched(fresh, user, buckets))))
+    known = near.select(F.col(user).alias("known"), F.col("first_visit_date").alias("stored"))
+    changed = fresh.join(known, F.col(user) == F.col("known"), "left").where("stored IS NULL OR first_visit_date < stored")
+    changed = changed.select(fresh.columns)
+    rewritten = touched(changed, user, buckets)
+    if not rewritten:
+        return
+    before = stored.where(F.col("bucket").isin(list(rewritten))).drop("bucket")
+    merged = merge_first_visits(before, changed.drop("bucket"), cfg).withColumn("bucket", bucket_of(user, buckets))
+    names = {f"bucket={n}" for n in rewritten}
+    table.commit(merged, lambda partition: partition in names)

@@ -2,7 +2,8 @@
 
 Staged events, sessions and first visits are written tables that the marts read back. They
 are what each mart scans, partition-pruned and column-pruned, and they cut lineage: a lost
-executor costs a re-read of those files, never a rebuild from the raw export.
+executor costs a re-read of those files, never a rebuild from the raw export. Every partitioned
+table is committed as a version, so readers see a run's window as a whole or not at all.
 """
 
 from __future__ import annotations
@@ -16,10 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import EngineConfig
-from ..operators.incremental import cluster_write, latest_snapshot, write_snapshot, write_window
+from ..operators.incremental import latest_snapshot, write_snapshot
+from ..operators.versions import VersionedTable, from_value
 from ..session import sized_shuffles
 from ..sources.export import read_shards
 from . import depth, first_visit, monthly, pages, product, sessions, staging, weekly
+from .session_index import SessionIndex
 
 
 @dataclass(frozen=True)
@@ -60,6 +63,11 @@ class Warehouse:
     """The tables of one deployment, under ``root``."""
 
     STAGED, SESSIONS, FIRST_VISITS = "staged_events", "sessions", "first_visits"
+    _LAYOUT = {
+        STAGED: ("event_date", ("event_name", "user_pseudo_id")),
+        SESSIONS: ("session_date", ("device_class", "channel_group")),
+        FIRST_VISITS: ("bucket", ("user_pseudo_id",)),
+    }
 
     def __init__(self, spark: SparkSession, cfg: EngineConfig, root: str):
         self.spark, self.cfg, self.root = spark, cfg, root.rstrip("/")
@@ -67,25 +75,33 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def table(self, name: str) -> VersionedTable:
+        partition, cluster = self._LAYOUT.get(name) or (MARTS[name].partition, MARTS[name].cluster)
+        return VersionedTable(self.spark, self.path(name), (partition,), cluster, keep=self.cfg.keep_snapshots)
+
+    @property
+    def session_index(self) -> SessionIndex:
+        return SessionIndex(self.spark, self.path("session_index"), self.cfg.session_buckets, self.cfg.keep_snapshots)
+
     # -- readers
 
+    def _stored(self, name: str) -> DataFrame:
+        found = self.table(name).read()
+        if found is None:
+            raise FileNotFoundError(f"no {name} under {self.root}; run a full refresh first")
+        return found
+
     def staged(self) -> DataFrame:
-        return self.spark.read.schema(staging.STAGED_EVENT).parquet(self.path(self.STAGED))
+        return self._stored(self.STAGED)
 
     def sessions(self) -> DataFrame:
-        return self.spark.read.schema(sessions.SESSION).parquet(self.path(self.SESSIONS))
+        return self._stored(self.SESSIONS)
 
     def first_visits(self) -> DataFrame:
-        found = latest_snapshot(self.spark, self.path(self.FIRST_VISITS), first_visit.FIRST_VISIT)
-        if found is None:
-            raise FileNotFoundError(f"no first visits under {self.root}; run a full refresh first")
-        return found
+        return self._stored(self.FIRST_VISITS).drop("bucket")
 
     def mart(self, name: str) -> DataFrame:
-        path = self.path(name)
-        if MARTS[name].partition is None:
-            return latest_snapshot(self.spark, path)
-        return self.spark.read.parquet(path)
+        return latest_snapshot(self.spark, self.path(name)) if MARTS[name].partition is None else self._stored(name)
 
     def build_mart(self, name: str, incremental: bool = False, **options) -> DataFrame:
         """A mart computed from the silver tables, not yet written."""
@@ -95,6 +111,8 @@ class Warehouse:
             inputs.append(self.first_visits())
         if mart.partition is not None:
             options["incremental"] = incremental
+        if incremental and name == "product_performance":
+            options["index"] = self.session_index
         return mart.build(*inputs, self.cfg, **options)
 
     # -- writers
@@ -114,27 +132,21 @@ class Warehouse:
             self._refresh_silver(daily, intraday, incremental)
 
     def _refresh_silver(self, daily: DataFrame, intraday: DataFrame, incremental: bool) -> None:
-        cfg, boundary = self.cfg, self.cfg.lookback_date
-        self._commit(
-            self.STAGED,
-            staging.staged_events(daily, intraday, cfg, incremental),
-            "event_date",
-            ("event_name", "user_pseudo_id"),
-            boundary if incremental else None,
-            # a full build leaves the rows in their scan tasks, each of which reads one date
-            rebalance=incremental,
-        )
-        self._commit(
-            self.SESSIONS,
-            sessions.sessions(self.staged(), cfg, incremental, self.sessions() if incremental else None),
-            "session_date",
-            ("device_class", "channel_group"),
-            boundary if incremental else None,
-        )
-        firsts = first_visit.first_visits(self.staged(), cfg, incremental)
+        if incremental and self.table(self.SESSIONS).version() is None:
+            raise FileNotFoundError(f"no {self.SESSIONS} under {self.root}; run a full refresh first")
+        cfg, boundary = self.cfg, self.cfg.lookback_date if incremental else None
+        # a full build leaves the rows in their scan tasks, each of which reads one date
+        staged = staging.staged_events(daily, intraday, cfg, incremental)
+        self._commit(self.STAGED, staged, boundary, rebalance=incremental)
+        index = self.session_index
         if incremental:
-            firsts = first_visit.merge_first_visits(self.first_visits(), firsts, cfg)
-        write_snapshot(firsts, self.path(self.FIRST_VISITS), self._version(), keep=self.cfg.keep_snapshots)
+            # of a run that died before its end
+            index.follow(self.table(self.SESSIONS), boundary)
+        built = sessions.sessions(self.staged(), cfg, incremental, index=index if incremental else None)
+        self._commit(self.SESSIONS, built, boundary)
+        index.follow(self.table(self.SESSIONS), boundary)
+        firsts = first_visit.first_visits(self.staged(), cfg, incremental)
+        first_visit.commit_first_visits(self.table(self.FIRST_VISITS), firsts, cfg, incremental)
 
     def refresh_mart(self, name: str, incremental: bool = False) -> None:
         with sized_shuffles(self.staged(), self.sessions()):
@@ -151,25 +163,18 @@ class Warehouse:
             closed = self._last_closed_month()
             boundary = self.cfg.product_boundary(closed)
             options["last_closed_month"] = closed
-        self._commit(name, self.build_mart(name, incremental, **options), mart.partition, mart.cluster, boundary)
+        self._commit(name, self.build_mart(name, incremental, **options), boundary)
 
     def _last_closed_month(self) -> date | None:
         months = self.mart("product_performance").where(F.col("period_type") == "month")
         return months.agg(F.max("period_start_date")).first()[0]
 
-    def _commit(
-        self,
-        table: str,
-        df: DataFrame,
-        partition: str,
-        cluster: tuple[str, ...],
-        boundary: date | None,
-        rebalance: bool = True,
-    ) -> None:
+    def _commit(self, name: str, df: DataFrame, boundary: date | None, rebalance: bool = True) -> None:
+        table = self.table(name)
         if boundary is None:
-            cluster_write(df, self.path(table), partition, cluster, rebalance=rebalance)
+            table.commit(df, rebalance=rebalance)
         else:
-            write_window(self.spark, df, self.path(table), partition, boundary, cluster)
+            table.commit(df, from_value(table.partition[0], boundary.isoformat()), rebalance)
 
     def _version(self) -> str:
         return f"{self.cfg.as_of_date:%Y%m%d}-{time.time_ns()}"

@@ -13,6 +13,7 @@ from ..functions.calendar import days_elapsed, month_start, week_end, week_start
 from ..operators.incremental import since
 from ..operators.rollup import IS_TOTAL, row_sort, total_rollup, with_totals
 from .reach import carry, event_counts
+from .session_index import FLAGS, REF, SessionIndex, session_ref
 from .sessions import SESSION_ID
 
 GRAND_TOTAL = "Grand Total"
@@ -49,6 +50,7 @@ def product_performance(
     cfg: EngineConfig,
     incremental: bool = False,
     last_closed_month: date | None = None,
+    index: SessionIndex | None = None,
 ) -> DataFrame:
     """Period by product category, with a Grand Total row per period.
 
@@ -89,12 +91,20 @@ def product_performance(
         .withColumns({c: F.when(identified, F.col(c)) for c in SESSION_ID})
         .groupBy(*period, *dims, *SESSION_ID)
         .agg(*event_counts(**_ITEM_COUNTS))
-        # partitions on the session; the per-session aggregate below reuses that
-        .join(sessions.select(*SESSION_ID, "is_bounced_flag", "is_bounced_3cond"), SESSION_ID, "left")
     )
+    # the join partitions on the session; the per-session aggregate below reuses that
+    session = SESSION_ID
+    if index is None:
+        touched = touched.join(sessions.select(*SESSION_ID, *FLAGS), SESSION_ID, "left")
+    else:
+        # rows outside any identified session have no reference, so nothing is looked up for them
+        ref = F.when(F.col("user_pseudo_id").isNotNull(), session_ref()).alias(REF)
+        with_items = events.where(F.size("items.item_id") > 0)
+        touched = index.with_flags(touched.select("*", ref), seen=with_items.select(ref))
+        session = [*SESSION_ID, REF]
     per_session = (
         with_totals(touched, dims, GRAND_TOTAL)
-        .groupBy(*keys, *SESSION_ID)
+        .groupBy(*keys, *session)
         .agg(F.max("is_bounced_flag").alias("flag"), F.max("is_bounced_3cond").alias("3cond"), *carry(*_ITEM_COUNTS))
     )
     named = F.col("user_pseudo_id").isNotNull()

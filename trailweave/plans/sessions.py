@@ -11,6 +11,7 @@ from ..config import EngineConfig
 from ..functions import metrics as m
 from ..functions.text import UNKNOWN
 from ..operators.incremental import append_new_keys, since
+from .session_index import REF, SessionIndex, session_ref
 
 SESSION = """
     session_key string,
@@ -99,14 +100,19 @@ def known_max(column: str, placeholder: str | None) -> Column:
 
 
 def sessions(
-    staged: DataFrame, cfg: EngineConfig, incremental: bool = False, stored: DataFrame | None = None
+    staged: DataFrame,
+    cfg: EngineConfig,
+    incremental: bool = False,
+    stored: DataFrame | None = None,
+    index: SessionIndex | None = None,
 ) -> DataFrame:
     """Sessions of the staged events.
 
     Incremental: the scan reaches one day behind the window, so a session over its edge is
     seen whole, and only sessions starting inside the window come out. ``stored`` is the
     present session table; a session it already holds with an earlier start, one that paused
-    over the whole extra day, is not emitted a second time.
+    over the whole extra day, is not emitted a second time. With an ``index`` of that table the
+    lookup reads the buckets of the run's own sessions only, and moves no stored row.
 
     Built in two steps. The events are first combined per session and dimension values:
     those hardly vary within a session, and with the texts in the key all aggregates are
@@ -155,6 +161,9 @@ def sessions(
         )
     )
     fresh = since(built, "session_date", boundary)
-    if boundary and stored is not None:
+    if boundary and index is not None:
+        seen = since(staged, "event_date", scan_from).where(F.col("ga_session_id").isNotNull())
+        fresh = index.unknown(fresh, boundary, seen.select(session_ref().alias(REF)))
+    elif boundary and stored is not None:
         fresh = append_new_keys(fresh, stored.where(F.col("session_date") < F.lit(boundary)), SESSION_ID)
     return fresh.select(*COLUMNS)

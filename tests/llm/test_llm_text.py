@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import time
 import zlib
 from collections import Counter
 from datetime import date
@@ -284,6 +285,44 @@ def test_every_kind_of_page_has_its_template(spark):
     assert [found[k] for k in range(5)] == ["Thing 0", "Thing 1", "Thing 2", "Article 3", "Story 4"]
 
 
+@pytest.mark.parametrize("page", [
+    "<b>x " * 100_000, "<div>" * 100_000 + "deep", "<p>a" * 50_000, "<table><tr><td>" * 20_000 + "x", "<b>" * 30_000 + "</i>" * 30_000,
+    "<i><section>" + "<b>" * 30_000 + "</i>" * 30_000, "<form>" * 30_000 + "<h1>x</h1>" * 30_000, "<div class='a b c'>" * 20_000 + "x",
+    "<script " * 10_000, '<p title="' * 8_000, "<a " * 8_000, "<p it's " * 10_000, "<" * 80_000, "<!--" * 20_000, "<!" * 40_000, "</" * 40_000,
+    "&amp" * 20_000, "<x y='" + 'z="' * 20_000, "<li>" * 40_000, "<article>" * 20_000 + "x", "<main>" * 5_000 + "x", "<a b='>" * 10_000,
+])
+def test_ill_formed_pages_take_time_in_proportion(page):
+    """No page ends a query by its depth, or takes long by its unclosed tags, quotes and comments."""
+    start = time.process_time()
+    html_text.extract(page)
+    assert time.process_time() - start < 5
+
+
+def test_one_ill_formed_page_among_others(spark):
+    pages = [(k, "q.org", f"<article><p>Page {k}</p></article>") for k in range(3)] + [(3, "q.org", "<b>x " * 5000), (4, "q.org", "<div>" * 3000 + "end")]
+    found = texts_of(spark, pages)
+    assert [found[k] for k in range(3)] == ["Page 0", "Page 1", "Page 2"] and found[4] == "end" and found[3] == " ".join("x" * 5000)
+
+
+def test_tags_and_text():
+    texts = {
+        "a < b <i>c</i> <3 d<e": "a < b c <3 d<e", "<p title='a>b' class=x>t</p>u": "t u", "1<br/>2<p/>3": "1 2 3", "<article/>all<p>of it": "all of it",
+        "x<!-- <p>no --><p>y": "x y", "<script>if (a<b) '</p>'</script>z": "z", "<div>a<span>b</div>c": "ab c", "<ul><li>1<li>2<ul><li>3</ul></ul>": "1 2 3",
+        "<table><tr><td>1<td>2<tr><td>3</table>": "1 2 3", "<p>it's <b>so</p>5 > 4": "it's so 5 > 4", "<A HREF=x>q</A>": "q", "</p>r</div>": "r",
+        "<p a=\"x>y</p>z": "y z",
+    }
+    assert {page: html_text.extract(page) for page in texts} == texts
+
+
+def test_boxes_inside_articles_go_and_the_flow_stays():
+    page = (
+        "<article><h1 class='notice'>Head</h1><p class='alert'>One</p><div class='comment-list'><p>First!</p></div><p class='login'>Two</p>"
+        "<div class='newsletter-signup'>Join</div><section class='related-posts'>More</section><ins class='adsbygoogle'>Buy</ins>"
+        "<div class='has-sidebar'>Three</div></article>"
+    )
+    assert html_text.extract(page) == "Head One Two Three"
+
+
 def test_documents_pages_of_the_data(spark):
     """Pages of the test tables: what stands between the article tags, tags removed."""
     for r in queries.op6_html_text(spark, SF).join(spark.read.parquet(f"{SF}/pages.parquet"), ["page_id", "url"]).collect():

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
@@ -24,12 +25,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import sent_if_small, write_table
+from .common import write_table
 
 #: Pages, different ones, on which a text must be the same to be template.
 MIN_TEMPLATE_PAGES = 3
-#: Hosts whose wrappers are broadcast at most; beyond, pages and wrappers are shuffled by host.
-MAX_BROADCAST_HOSTS = 20_000
+#: Constants (8 bytes each) and hosts that are broadcast at most; beyond, pages and wrappers are shuffled by host.
+MAX_BROADCAST_CONSTANTS, MAX_BROADCAST_HOSTS = 2_000_000, 100_000
 
 # Names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -60,14 +61,18 @@ HIDDEN_WORDS = frozenset(
 )
 ARTICLE = frozenset({"article", "main"})
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|iframe|textarea|svg|math|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|</?[a-zA-Z!?/][^>]*>"
-    r"|(?P<text>[^<]+|<)",
-    re.S | re.I,
-)
+#: Elements whose content is no markup; what they hold is left out.
+RAW = frozenset("script style noscript template iframe textarea svg math title".split())
+#: Elements of the article's own flow, which no class or id hides.
+FLOW = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote table caption figcaption dl".split())
+#: Words that begin names of boxes around comments, adverts and offers, as in comment-list or adsbygoogle.
+BOXES = ("comment", "disqus", "newsletter", "related", "recommended", "advert", "adsby", "sponsor", "promo", "cookie", "breadcrumb")
+#: Longer paths are folded to a hash.
+LONG_PATH = 400
+
+_NAME = re.compile(r"[a-zA-Z][^\s/><]*")
+_ATTRIBUTES = re.compile(r"""(?:[^<>"']|"[^"]*"|'[^']*')*+""")
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME_WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
@@ -85,53 +90,129 @@ class Element:
                 self.key = f"{tag}.{names['class'].strip()}"
             if tag not in ("html", "body", "article", "main"):
                 words = {w for k in ("class", "id") for w in html.unescape(names.get(k, "")).lower().split()}
-                self.hidden |= bool(words & HIDDEN_WORDS) or names.get("role", "").lower() in HIDDEN_ROLES
+                named = tag not in FLOW and (bool(words & HIDDEN_WORDS) or any(w.startswith(BOXES) for w in words))
+                self.hidden |= named or names.get("role", "").lower() in HIDDEN_ROLES
 
 
-def parse(page: str | None) -> Element:
-    """The tree of a page; unclosed and stray tags are made up for, comments and scripts are left out."""
-    root = Element("")
-    stack = [root]
-    for m in _TOKEN.finditer(page or ""):
-        text = m["text"]
-        if text is not None:
-            stack[-1].children.append(html.unescape(text) if "&" in text else text)
+def _tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """(kind, name or text, attributes) from left to right; kinds are text, start and end.
+
+    A tag ends at the first > outside of quotes. A < that no tag begins with, or whose tag meets
+    another < before it ends, is text. The scanner only moves forward, so any page takes time in
+    proportion to its length.
+    """
+    at, n = 0, len(page)
+    while at < n:
+        start = page.find("<", at)
+        if start < 0:
+            yield "text", page[at:], ""
+            return
+        if start > at:
+            yield "text", page[at:start], ""
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = n if end < 0 else end + 3
             continue
-        tag = m["tag"]
-        if tag is None:
+        closing = page.startswith("/", start + 1)
+        name = _NAME.match(page, start + 1 + closing)
+        if name is None:
+            end = page.find(">", start) if page[start + 1 : start + 2] in ("!", "?", "/") else -1
+            if end < 0:
+                yield "text", "<", ""
+            at = start + 1 if end < 0 else end + 1
             continue
-        tag = tag.lower()
-        if m["end"]:
-            if tag in VOID:
-                continue
-            for at in range(len(stack) - 1, 0, -1):
-                if stack[at].tag == tag:
-                    del stack[at:]
-                    break
-                if stack[at].tag in WALLS and tag not in WALLS and tag not in ("html", "table", "form"):
-                    break
+        end = _ATTRIBUTES.match(page, name.end()).end()
+        if end < n and page[end] in "\"'":  # a quote that nothing closes
+            end = min((k for k in (page.find(">", end), page.find("<", end)) if k >= 0), default=n)
+        if end >= n or page[end] != ">":
+            yield "text", "<", ""
+            at = start + 1
             continue
-        ends = CLOSES.get(tag) or ({"p"} if tag in BLOCK and tag != "br" else ())
-        if ends:
-            for at in range(len(stack) - 1, 0, -1):
-                if stack[at].tag in ends:
-                    del stack[at:]
-                    break
-                if stack[at].tag in WALLS:
-                    break
-        element = Element(tag, m["attrs"] or "")
-        stack[-1].children.append(element)
-        if tag not in VOID and not (m["attrs"] or "").endswith("/"):
-            stack.append(element)
+        tag, at = name[0].lower(), end + 1
+        if closing:
+            yield "end", tag, ""
+            continue
+        yield "start", tag, page[name.end() : end]
+        if tag in RAW:
+            close = _RAW_END[tag].search(page, at)
+            at = close.end() if close else n
+            yield "end", tag, ""
+
+
+class _Open:
+    """The open elements, with counts of their names inside the innermost wall and altogether.
+
+    What is looked for is known to be there before the stack is searched, and all that is searched
+    is closed: the searches of a page take as many steps as it has elements.
+    """
+
+    def __init__(self, root: Element):
+        self.stack, self.scopes, self.all = [root], [Counter()], Counter()
+
+    def add(self, element: Element) -> None:
+        self.stack.append(element)
+        self.all[element.tag] += 1
+        self.scopes[-1][element.tag] += 1
+        if element.tag in WALLS:
+            self.scopes.append(Counter())
+
+    def close(self, names: Iterable[str], beyond: bool = False) -> None:
+        """Close the innermost open element of the names, and what it holds; only `beyond` looks past walls."""
+        names = [n for n in names if (self.all if beyond else self.scopes[-1])[n]]
+        while names:
+            gone = self.stack.pop()
+            self.all[gone.tag] -= 1
+            if gone.tag in WALLS:
+                self.scopes.pop()
+            self.scopes[-1][gone.tag] -= 1
+            if gone.tag in names:
+                return
+
+
+def parse(page: str | None) -> Element:
+    """The tree of a page; unclosed and stray tags are made up for, comments and scripts are left out."""
+    root = Element("")
+    here = _Open(root)
+    for kind, tag, attrs in _tokens(page or ""):
+        if kind == "text":
+            here.stack[-1].children.append(html.unescape(tag) if "&" in tag else tag)
+        elif kind == "end":
+            if tag not in VOID:
+                innermost = here.scopes[-1][tag]
+                here.close([tag], beyond=not innermost and (tag in WALLS or tag in ("html", "form")))
+        else:
+            ends = CLOSES.get(tag) or ({"p"} if tag in BLOCK and tag != "br" else ())
+            here.close(ends)
+            element = Element(tag, attrs)
+            here.stack[-1].children.append(element)
+            if tag not in VOID:
+                here.add(element)
     return root
 
 
-def _blocks(element: Element, path: str = "", shown: bool = True) -> Iterator[tuple[str, str]]:
+def _below(path: str, key: str) -> str:
+    """The path of an element below; a long one keeps its first part, whether a listed name is on it, and a hash."""
+    path = f"{path}/{key}"
+    if len(path) <= LONG_PATH:
+        return path
+    return f"{path.partition('/')[0]}/{xxhash.xxh64_hexdigest(path.encode('utf-8', 'surrogatepass'))}{'.comment' if _listed(path) else ''}"
+
+
+def _blocks(element: Element, path: str = "") -> Iterator[tuple[str, str]]:
     """(path, text) of the shown blocks below `element` in page order, white space made single."""
     run: list[str] = []
 
-    def walk(node: Element, path: str) -> Iterator[tuple[str, str]]:
-        for child in node.children:
+    def flush(path: str) -> Iterator[tuple[str, str]]:
+        text = " ".join("".join(run).split())
+        run.clear()
+        if text:
+            yield path, text
+
+    # children left to visit, path, whether a block ends with them
+    stack = [(iter(element.children), path, True)]
+    while stack:
+        children, path, block = stack[-1]
+        for child in children:
             if isinstance(child, str):
                 run.append(child)
             elif child.hidden:
@@ -139,20 +220,15 @@ def _blocks(element: Element, path: str = "", shown: bool = True) -> Iterator[tu
                     yield from flush(path)
             elif child.tag in BLOCK:
                 yield from flush(path)
-                below = f"{path}/{child.key}"
-                yield from walk(child, below)
-                yield from flush(below)
+                stack.append((iter(child.children), _below(path, child.key), True))
+                break
             else:
-                yield from walk(child, path)
-
-    def flush(path: str) -> Iterator[tuple[str, str]]:
-        text = " ".join("".join(run).split())
-        run.clear()
-        if text:
-            yield path, text
-
-    yield from walk(element, path)
-    yield from flush(path)
+                stack.append((iter(child.children), path, False))
+                break
+        else:
+            stack.pop()
+            if block:
+                yield from flush(path)
 
 
 class Part:
@@ -241,12 +317,17 @@ def infer(pages: list[str]) -> Part:
 
 def _articles(node: Element, hidden: bool = False) -> Iterator[Element]:
     """Outermost articles, or the outermost main element; with `hidden` those in hidden elements, too."""
-    for child in node.children:
-        if isinstance(child, Element) and (hidden or not child.hidden):
-            if child.tag in ARTICLE:
-                yield child
-            else:
-                yield from _articles(child, hidden)
+    stack = [iter(node.children)]
+    while stack:
+        for child in stack[-1]:
+            if isinstance(child, Element) and (hidden or not child.hidden):
+                if child.tag in ARTICLE:
+                    yield child
+                else:
+                    stack.append(iter(child.children))
+                    break
+        else:
+            stack.pop()
 
 
 def _regions(root: Element) -> list[Element]:
@@ -263,14 +344,24 @@ def _regions(root: Element) -> list[Element]:
     return regions
 
 
-def _open_forms(node: Element) -> bool:
-    """Shows forms around a whole page, those with its main heading or article; whether `node` has one."""
-    found = node.tag == "h1" or node.tag in ARTICLE
-    for child in node.children:
-        found |= isinstance(child, Element) and _open_forms(child)
-    if found and node.tag == "form":
-        node.hidden = False
-    return found
+def _open_forms(root: Element) -> None:
+    """Shows forms around a whole page, those with its main heading or article."""
+    stack, forms = [(root, iter(root.children))], []
+    while stack:
+        node, children = stack[-1]
+        child = next((c for c in children if isinstance(c, Element)), None)
+        if child is None:
+            stack.pop()
+            if forms and forms[-1] is node:
+                forms.pop()
+            continue
+        if child.tag == "h1" or child.tag in ARTICLE:
+            for form in forms:
+                form.hidden = False
+            forms = []
+        if child.tag == "form":
+            forms.append(child)
+        stack.append((child, iter(child.children)))
 
 
 def _listed(path: str) -> bool:
@@ -367,6 +458,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     def text(pages: pd.Series, templates: pd.Series) -> pd.Series:
         return pd.Series([extract(p, () if t is None else t) for p, t in zip(pages, templates)], dtype=object)
 
-    joined = own.join(sent_if_small(known, MAX_BROADCAST_HOSTS), "host", "left")
+    hosts, constants = known.agg(F.count("*"), F.coalesce(F.sum(F.size("template")), F.lit(0))).first()
+    small = hosts <= MAX_BROADCAST_HOSTS and constants <= MAX_BROADCAST_CONSTANTS
+    joined = own.join(F.broadcast(known) if small else known, "host", "left")
     out = joined.select("page_id", "url", text("html", "template").alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))

@@ -38,6 +38,11 @@ def docs(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")
 
 
+@pytest.fixture(scope="module")
+def learned(docs):
+    return language.learn(docs)
+
+
 @pytest.fixture(scope="module")
 def labels(spark):
     return spark.read.parquet(f"{SF}/labels.parquet")
@@ -95,6 +100,59 @@ def test_forward_sums_all_segmentations():
         assert np.allclose(np.exp(model.word_scores([word, "a"])[0]), total)
 
 
+def plain_word(model, word):
+    """All segmentations by the plain forward recursion, in logarithms."""
+    numbers = {q: k for k, q in enumerate(model.pieces)}
+    longest, log = max(map(len, numbers)), np.log(np.maximum(model.p, 1e-300))
+    alpha = [np.zeros(len(model.languages))]
+    for end in range(1, len(word) + 1):
+        ways = []
+        for start in range(max(0, end - longest), end):
+            number = numbers.get(word[start:end], len(numbers) if end - start == 1 else None)
+            if number is not None:
+                ways.append(alpha[start] + log[number])
+        alpha.append(np.logaddexp.reduce(ways, axis=0))
+    return alpha[-1]
+
+
+def test_whole_texts_by_brute_force(docs, learned):
+    """The query's prediction and score of every text, from all pieces of the vocabulary and whole words."""
+    found, model = {r.doc_id: r for r in language.languages(docs).collect()}, learned
+    assert max(map(len, model.pieces)) == 16 and len(model.pieces) > 20_000
+    known = {}
+    for r in docs.limit(60).collect():
+        words = re.findall(r"[^\W\d_]+", (r.text or "").lower())
+        scores = sum((known.setdefault(w, plain_word(model, w)) for w in words), np.zeros(len(model.languages)))
+        if words:
+            assert found[r.doc_id].lang_pred == model.languages[int(np.argmax(scores))]
+            assert abs(found[r.doc_id].score - 1 / np.exp(scores - scores.max()).sum()) < 1e-6
+
+
+@pytest.mark.parametrize("length", [16, 39, 40, 41, 60, 2000])
+def test_words_of_any_length_are_summed_whole(learned, length):
+    model = learned
+    word = ("administrativeunfortunately" * 100)[:length]
+    assert np.allclose(model.word_scores([word, "a"])[0], plain_word(model, word), rtol=1e-9)
+    assert np.allclose(model.long_score(word), plain_word(model, word), rtol=1e-9)
+
+
+def test_number_signs_are_no_letters(spark):
+    odd = language.languages(table(spark, ["½ ² 3", "Ⅷ", "②", "٣", "́", "ªx"])).collect()
+    assert [r.lang_pred for r in odd[:5]] == ["und"] * 5
+
+
+def test_remembered_scores_stay_in_bounds(docs, learned, monkeypatch):
+    model = language.Model(learned.languages, learned.pieces, learned.p)
+    texts = [r.text for r in docs.limit(100).collect()]
+    whole = language.Model(model.languages, model.pieces, model.p).text_scores(texts)
+    monkeypatch.setattr(language, "REMEMBERED", 8 * len(model.languages) * 3000)
+    rows = []
+    for at in range(0, 100, 5):
+        rows.append(model.text_scores([*texts[at : at + 5], "w" * 70]))
+        assert "w" * 70 not in model.known and model.used <= len(model.scores) < 12_000
+    assert np.allclose(np.concatenate([r[:-1] for r in rows]), whole)
+
+
 def test_languages(spark, docs):
     found = language.languages(docs.unionByName(table(spark, ODD).select(docs.columns).withColumn("lang", F.lit(None).cast("string"))))
     rows = found.collect()

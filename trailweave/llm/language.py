@@ -12,13 +12,13 @@ scores of a bounded number of words.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,25 +30,27 @@ MAX_DOCS = 400
 #: Different words learned from at most, by language; the most frequent ones.
 MAX_WORDS = 20_000
 ROUNDS = 4
-MAX_PIECE = 12
 #: Words that go through the passes together.
 GROUP = 4096
-#: Longer words are scored in stretches of so many characters.
+#: Longer words are learned from in stretches of so many characters, and scored one by one.
 STRETCH = 40
-#: Words whose scores a worker remembers at most.
-REMEMBERED = 300_000
+#: Bytes of scores that a worker remembers at most, and the longest words among them.
+REMEMBERED, REMEMBERED_LENGTH = 10_000_000, 64
 #: Probability of a character that is no piece of its own; share of the uniform distribution in every language's.
 UNKNOWN, SMOOTHING = 1e-7, 1e-3
 
-_WORDS = re.compile(r"[^\W\d_]+")
+#: Letters are what Unicode calls so; number signs such as fractions and Roman numerals are none.
+_WORDS = regex.compile(r"\p{L}+")
 
 
 def words_of(text: str | None) -> list[str]:
-    """Lower-cased runs of letters, long ones cut into stretches."""
-    found = _WORDS.findall((text or "").lower())
-    if all(len(w) <= STRETCH for w in found):
-        return found
-    return [w[i : i + STRETCH] for w in found for i in range(0, len(w), STRETCH)]
+    """Lower-cased runs of letters."""
+    return _WORDS.findall((text or "").lower())
+
+
+def stretches_of(text: str | None) -> list[str]:
+    """Words as they are learned from: long ones cut."""
+    return [w[i : i + STRETCH] for w in words_of(text) for i in range(0, len(w), STRETCH)]
 
 
 def public_pieces(vocabulary: str | None = None) -> list[str]:
@@ -57,7 +59,7 @@ def public_pieces(vocabulary: str | None = None) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=vocabulary or public_tokenizers.path(VOCABULARY))
     pieces = {model.id_to_piece(i).replace("▁", "").lower() for i in range(model.get_piece_size())}
-    return sorted(p for p in pieces if len(p) <= MAX_PIECE and _WORDS.fullmatch(p))
+    return sorted(p for p in pieces if _WORDS.fullmatch(p))
 
 
 class _Trie:
@@ -99,7 +101,7 @@ class _Trie:
         for i in range(longest):
             yield i, 1, single[i]
             node = self.child[1, letter[i]]
-            for k in range(2, min(MAX_PIECE, longest - i) + 1):
+            for k in range(2, longest - i + 1):
                 node = self.child[node, letter[i + k - 1]]
                 if not node.any():
                     break
@@ -125,15 +127,43 @@ class Model:
     def __post_init__(self):
         self.trie = _Trie(self.pieces)
         self.known: dict[str, int] = {}
+        self.used = 0
         self.scores = np.zeros((0, len(self.languages)))
 
     def __reduce__(self):
         return Model, (self.languages, self.pieces, self.p)
 
+    def long_score(self, word: str) -> np.ndarray:
+        """Logarithm of a word's probability by language, however long it is.
+
+        Of the forward pass only the sums that a piece may still reach from are held; each step
+        divides them by the one it leaves from, so that none becomes too small.
+        """
+        trie, ahead = self.trie, np.zeros((max(map(len, self.pieces), default=1) + 1, len(self.languages)))
+        codes = [ord(c) for c in word]
+        letter, total = trie.letter[codes], np.zeros(len(self.languages))
+        ahead[0] = 1
+        for i, code in enumerate(codes):
+            total += np.log(ahead[0])
+            ahead[1:] /= ahead[0]
+            ahead[1] += self.p[trie.single[code]]
+            node, k = trie.child[1, letter[i]], 2
+            while node and i + k <= len(codes):
+                node = trie.child[node, letter[i + k - 1]]
+                if node and (piece := trie.piece_of[node]) != trie.none:
+                    ahead[k] += self.p[piece]
+                k += 1
+            ahead[:-1] = ahead[1:]
+            ahead[-1] = 0
+        return total + np.log(ahead[0])
+
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Logarithms of the words' probabilities, by language."""
         out = np.empty((len(words), len(self.languages)))
-        by_length = sorted(range(len(words)), key=lambda k: len(words[k]))
+        for k, w in enumerate(words):
+            if len(w) > STRETCH:
+                out[k] = self.long_score(w)
+        by_length = sorted((k for k, w in enumerate(words) if len(w) <= STRETCH), key=lambda k: len(words[k]))
         for at in range(0, len(words), GROUP):  # words of like length together, so that few cells stay empty
             some = by_length[at : at + GROUP]
             group = [words[k] for k in some]
@@ -145,17 +175,26 @@ class Model:
     def text_scores(self, texts: list[str | None]) -> np.ndarray:
         """Summed logarithms by text and language; texts without letters have zeros."""
         counted = [Counter(words_of(t)) for t in texts]
-        new = list({w for c in counted for w in c if w not in self.known})
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, self.scores = {}, self.scores[:0]
-            new = list({w for c in counted for w in c})
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-        self.scores = np.concatenate([self.scores, self.word_scores(new)])
+        new = {w for c in counted for w in c}.difference(self.known)
+        most = REMEMBERED // (8 * max(len(self.languages), 1))
+        if self.used + len(new) > max(most, len(self.scores)):
+            self.known, self.used, new = {}, 0, {w for c in counted for w in c}
+        if self.used + len(new) > len(self.scores):
+            grown = np.empty((max(self.used + len(new), min(2 * len(self.scores), most)), len(self.languages)))
+            grown[: self.used] = self.scores[: self.used]
+            self.scores = grown
+        end = self.used + len(new)
+        self.known.update(zip(new, range(self.used, end)))
+        self.scores[self.used : end] = self.word_scores(list(new))
+        self.used = end
         out = np.zeros((len(texts), len(self.languages)))
         for k, c in enumerate(counted):
             if c:
                 rows = np.fromiter(map(self.known.__getitem__, c), np.int64, len(c))
                 out[k] = np.fromiter(c.values(), np.float64, len(c)) @ self.scores[rows]
+        for w in new:
+            if len(w) > REMEMBERED_LENGTH:
+                del self.known[w]
         return out
 
 
@@ -207,7 +246,7 @@ def learn(docs: DataFrame, vocabulary: str | None = None, max_docs: int = MAX_DO
 
     @F.pandas_udf("array<string>")
     def words(texts: pd.Series) -> pd.Series:
-        return pd.Series([words_of(t) for t in texts], dtype=object)
+        return pd.Series([stretches_of(t) for t in texts], dtype=object)
 
     counted = write_table(sample.select("lang", F.explode(words("text")).alias("word")).groupBy("lang", "word").count(), "words")
     most = Window.partitionBy("lang").orderBy(F.desc("count"), "word")

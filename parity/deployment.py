@@ -30,6 +30,7 @@ class Deployment:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = configure(spark), sf_dir
         self.root = shared_root(spark)
+        self._committed: set[str] = set()
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Deployment:
@@ -104,3 +105,12 @@ class Deployment:
         if name == "product_performance" and options.get("incremental") and self.warehouse:
             options["index"] = self.warehouse.session_index
         return mart.build(self.staged, self.sessions, *extra, self.cfg, **options)
+
+    def stored_mart(self, name: str) -> DataFrame:
+        """The committed mart, built on first use."""
+        if self.warehouse is None:
+            return self.mart(name)
+        if name not in self._committed:
+            self.warehouse.refresh_mart(name)
+            self._committed.add(name)
+        return self.warehouse.mart(name)

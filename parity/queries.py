@@ -456,7 +456,7 @@ def dq_row_conditions(d: Deployment) -> DataFrame:
 @query
 def dq_model_rules(d: Deployment) -> DataFrame:
     """Every declared rule of every model; sessions without a user id break two of theirs."""
-    tables = {"sessions": d.sessions, "first_visits": d.first_visits} | {name: d.mart(name) for name in MARTS}
+    tables = {"sessions": d.sessions, "first_visits": d.first_visits} | {name: d.stored_mart(name) for name in MARTS}
     found = [rules.violations(tables[name]).withColumn("model", F.lit(name)) for name, rules in RULES.items()]
     return reduce(DataFrame.unionByName, found)
 

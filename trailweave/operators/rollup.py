@@ -21,8 +21,9 @@ def total_rollup(
 ) -> DataFrame:
     """GROUPING SETS ((period, dims, grain), (period, grain)); total rows carry ``label`` as dims.
 
-    With a ``grain``, the rows are first combined per period, dims and grain, and only those are
-    copied for the total; ``merge`` lifts each aggregate one level up.
+    The rows are first combined per period, dims and grain, and only those few are copied for the
+    total; ``merge`` lifts each aggregate one level up, so aggregates must be of a kind that its
+    own parts add up to: sums, counts, or maxima with ``merge=F.max``.
 
     ``is_total`` stays in the result as a key. With a ``grain`` such as the user, the result
     is small enough to count distinct grain values as plain rows afterwards. That replaces
@@ -30,12 +31,11 @@ def total_rollup(
     row once more before the shuffle.
     """
     fixed = [*period, *grain]
-    if grain:
-        keys = [*fixed, *dims]
-        df = df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
-        aggs = tuple(merge(c).alias(c) for c in df.columns if c not in keys)
-    rolled = df.groupingSets([[*fixed, *dims], fixed], *fixed, *dims).agg(
-        F.grouping(dims[0]).cast("int").alias(IS_TOTAL), *aggs
+    keys = [*fixed, *dims]
+    combined = df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
+    lifted = [merge(c).alias(c) for c in combined.columns if c not in keys]
+    rolled = combined.groupingSets([keys, fixed], *fixed, *dims).agg(
+        F.grouping(dims[0]).cast("int").alias(IS_TOTAL), *lifted
     )
     return _labelled(rolled, dims, label)
 

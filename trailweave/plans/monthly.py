@@ -80,8 +80,8 @@ def channel_performance(
         MONTH,
         dims,
         F.count("*").alias("visits"),
-        m.ratio(F.sum("duration_seconds"), F.count("*")).alias("avg_time_on_site_secs"),
-    )
+        F.sum("duration_seconds").alias("duration_seconds"),
+    ).withColumn("avg_time_on_site_secs", m.ratio(F.col("duration_seconds"), F.col("visits")))
     return (
         event_side.join(session_side, keys, "left")
         .join(order_counts(events, MONTH, dims), keys, "left")

@@ -108,13 +108,18 @@ def visit_reach(
 def session_quality(
     sessions: DataFrame, period: Sequence[str], dims: Sequence[str], *extra: Column, label: str = "Total"
 ) -> DataFrame:
-    """Both bounce rates per group and in total."""
-    return total_rollup(
+    """Both bounce rates per group and in total; ``extra`` are sums or counts of sessions."""
+    flags = ("is_bounced_flag", "is_bounced_3cond")
+    totals = total_rollup(
         sessions,
         period,
         dims,
-        m.bounce_rate_pct("is_bounced_flag", F.count("*")).alias("bounce_rate_flag_pct"),
-        m.bounce_rate_pct("is_bounced_3cond", F.count("*")).alias("bounce_rate_3cond_pct"),
+        F.count("*").alias("quality_sessions"),
+        *[F.sum(c).alias(c) for c in flags],
         *extra,
         label=label,
     )
+    rates = {
+        f"bounce_rate_{c.removeprefix('is_bounced_')}_pct": m.pct(F.col(c), F.col("quality_sessions")) for c in flags
+    }
+    return totals.withColumns(rates).drop("quality_sessions", *flags)

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .quality import broken_conditions, duplicate_keys, null_columns
-
 
 @dataclass(frozen=True)
 class Rules:
@@ -17,18 +16,28 @@ class Rules:
     row_conditions: tuple[str, ...] = ()
 
     def violations(self, df: DataFrame) -> DataFrame:
-        """One row per broken rule, with the number of rows (or key values) breaking it."""
-
-        def count(failing: DataFrame, rule: str) -> DataFrame:
-            return failing.groupBy(F.lit(rule).alias("rule")).agg(F.count("*").alias("failures"))
+        """One row per broken rule, with the number of rows (or key values) breaking it.
 
-        found = count(duplicate_keys(df, self.unique_key), f"unique key ({', '.join(self.unique_key)})")
+        All rules are tested in one pass: rows are counted per key, and the counts added up.
+        """
+        tests = {}
         if self.non_null:
-            found = found.unionByName(count(null_columns(df, self.non_null), f"not null ({', '.join(self.non_null)})"))
-        if self.row_conditions:
-            by_condition = broken_conditions(df, self.row_conditions).groupBy(F.col("failed_condition").alias("rule"))
-            found = found.unionByName(by_condition.agg(F.count("*").alias("failures")))
-        return found
+            missing = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in self.non_null))
+            tests[f"not null ({', '.join(self.non_null)})"] = missing
+        # an undecided (NULL) condition passes
+        tests |= {condition: ~F.expr(condition) for condition in self.row_conditions}
+        by_key = df.groupBy(*self.unique_key).agg(
+            F.count("*").alias("_rows"), *[F.count_if(test).alias(f"_{k}") for k, test in enumerate(tests.values())]
+        )
+        counted = by_key.agg(
+            F.count_if(F.col("_rows") > 1).alias("_unique"), *[F.sum(f"_{k}").alias(f"_{k}") for k in range(len(tests))]
+        )
+        columns = {f"unique key ({', '.join(self.unique_key)})": "_unique"} | {rule: f"_{k}" for k, rule in enumerate(tests)}
+        rows = [F.struct(F.lit(rule).alias("rule"), F.col(c).alias("failures")) for rule, c in columns.items()]
+        return counted.select(F.inline(F.array(*rows))).where(F.col("failures") > 0)
+
+
+# Keys, mandatory columns and row conditions of each model.
 
 
 def _percentage(column: str) -> str:

@@ -22,7 +22,7 @@ from trailweave.plans.pipeline import MARTS
 from trailweave.plans.rules import RULES
 from trailweave.plans.session_index import SessionIndex
 from trailweave.sources.export import uncovered_intraday
-from trailweave.streaming.intraday import read_intraday_stream, start_intraday_feed
+from trailweave.streaming.intraday import read_feed, read_intraday_stream, start_intraday_feed
 
 from .deployment import Deployment
 
@@ -472,7 +472,6 @@ def stream_intraday(d: Deployment) -> DataFrame:
         read_intraday_stream(d.spark, d.intraday_path, max_files=1), f"{out}/events", f"{out}/checkpoint", available_now=True
     )
     feed.awaitTermination()
-    staged = d.spark.read.schema(staging.STAGED_EVENT).parquet(f"{out}/events")
-    return staged.select(
+    return read_feed(d.spark, f"{out}/events").select(
         "event_date", _micros("event_timestamp").alias("event_us"), "event_name", "user_pseudo_id", "ga_session_id", "page_title"
     )

@@ -72,7 +72,12 @@ class VersionedTable:
             if not numbers:
                 return None
             number = numbers[-1]
-        found = json.loads(self.spark.read.text(self._version_file(number), wholetext=True).first()[0])
+        fs, file = _file_system(self.spark, self._version_file(number))
+        stream = fs.open(file)
+        try:
+            found = json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
         return Version(number, StructType.fromJson(found["schema"]), found["partitions"], found["notes"])
 
     def find(self, number: int) -> Version | None:
@@ -82,12 +87,15 @@ class VersionedTable:
     def folder(self, partition: str, commit: str) -> str:
         return f"{self.path}/data/commit={commit}/{partition}"
 
-    def read(self) -> DataFrame | None:
-        """The newest version. Partition columns prune as those of any partitioned files."""
+    def read(self, of: Callable[[str], bool] = lambda partition: True) -> DataFrame | None:
+        """The newest version. Partition columns prune as those of any partitioned files.
+
+        With ``of``, only the partitions that it names are looked at, not so much as listed.
+        """
         now = self.version()
         if now is None:
             return None
-        folders = [self.folder(p, c) for p, c in sorted(now.partitions.items())]
+        folders = [self.folder(p, c) for p, c in sorted(now.partitions.items()) if of(p)]
         if not folders:
             return self.spark.createDataFrame([], now.schema)
         rows = self.spark.read.schema(now.schema).option("basePath", f"{self.path}/data").parquet(*folders)

@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.incremental import append_new_keys
+from ..operators.versions import VersionedTable
 from ..plans.staging import typed_events
 from ..sources.schema import PHYSICAL_KEY, RAW_EVENT
 
 _RAW_KEYS = tuple(c for c in PHYSICAL_KEY if c not in ("user_pseudo_id", "event_name", "event_timestamp"))
 _KEY = ("user_pseudo_id", "event_name", "event_timestamp", *(f"raw_{c}" for c in _RAW_KEYS))
-_KEY_SCHEMA = (
-    "user_pseudo_id string, event_name string, event_timestamp timestamp, "
-    + ", ".join(f"raw_{c} bigint" for c in _RAW_KEYS)
-    + ", batch bigint, event_date date"
-)
+#: Portions of a day that lie side by side; with the next one they become one.
+MAX_PORTIONS = 16
+_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_intraday_stream(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
@@ -26,33 +27,59 @@ def read_intraday_stream(spark: SparkSession, root: str, max_files: int | None =
     return reader.parquet(root)
 
 
-def stage_batch(batch: DataFrame, batch_id: int, out: str) -> None:
-    """Write the batch's events that no earlier batch has, as ``out/batch=<id>/event_date=<day>``.
+def feed_table(spark: SparkSession, out: str) -> VersionedTable:
+    return VersionedTable(spark, out, ("event_date", "portion"))
+
+
+def read_feed(spark: SparkSession, out: str) -> DataFrame | None:
+    """The feed as of its last committed batch; None before the first."""
+    found = feed_table(spark, out).read()
+    return None if found is None else found.drop("portion")
+
+
+def _day_of(partition: str) -> str:
+    return partition.split("/")[0].removeprefix("event_date=")
+
+
+def stage_batch(batch: DataFrame, out: str) -> None:
+    """Add the batch's events that the feed does not hold yet, as one more portion of each of their days.
 
-    Replays are looked for among the stored rows of the batch's own days, however old those are,
-    so the feed is the same in whatever order and portions the shards arrive. A batch that runs
-    again after a failure replaces what it wrote.
+    Replays are looked for among the stored keys of the batch's own days, however old those are,
+    so the feed is the same in whatever order and portions the shards arrive, and a batch that
+    runs again after a failure adds nothing twice. Nothing but those days is listed or read. A day
+    that has MAX_PORTIONS of them gets them merged with the new one, in the same commit, so what
+    there is to list grows with the days and not with the batches.
     """
     spark = batch.sparkSession
     rows = typed_events(batch, *_RAW_KEYS).dropDuplicates([*_KEY]).withColumn("shard_type", F.lit("intraday"))
-    days = [r.event_date for r in batch.select(F.to_date("event_date", "yyyyMMdd").alias("event_date")).distinct().collect()]
-    if not days:  # one entry per calendar day of the batch
+    # one entry per calendar day of the batch
+    found = batch.select(F.to_date("event_date", "yyyyMMdd").alias("day")).distinct().collect()
+    days = {r.day.isoformat() if r.day else _NO_DAY for r in found}
+    if not days:
         return
-    if batch_id > 0:
-        stored = spark.read.schema(_KEY_SCHEMA).parquet(out)
-        stored = stored.where((F.col("batch") < batch_id) & F.col("event_date").isin(*days))
+    table = feed_table(spark, out)
+    now = table.version()
+    portion = now.number + 1 if now else 1
+    portions = Counter(_day_of(p) for p in (now.partitions if now else ()))
+    full = {day for day in days if portions[day] >= MAX_PORTIONS}
+    stored = table.read(lambda partition: _day_of(partition) in days)
+    if stored is not None:
         rows = append_new_keys(rows, stored, _KEY)
-    rows.write.mode("overwrite").partitionBy("event_date").parquet(f"{out}/batch={batch_id}")
+    rows = rows.withColumn("portion", F.lit(portion))
+    if full:
+        merged = table.read(lambda partition: _day_of(partition) in full)
+        rows = rows.unionByName(merged.withColumn("portion", F.lit(portion)))
+    table.commit(rows, lambda partition: _day_of(partition) in full, rebalance=bool(full))
 
 
 def start_intraday_feed(
     raw: DataFrame, out: str, checkpoint: str, available_now: bool = False, interval: str = "5 minutes"
 ) -> StreamingQuery:
-    """Keep ``out`` up to the shards: every physical event once, by batch and date.
+    """Keep the feed under ``out`` up to the shards: every physical event once; read_feed() reads it.
 
     The feed is provisional: the batch run replaces a date once its daily shard lands.
     """
-    writer = raw.writeStream.foreachBatch(lambda batch, n: stage_batch(batch, n, out)).option(
+    writer = raw.writeStream.foreachBatch(lambda batch, _: stage_batch(batch, out)).option(
         "checkpointLocation", checkpoint
     )
     if available_now:

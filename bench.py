@@ -85,7 +85,7 @@ def main() -> None:
     for suffix, incremental in (("", False), ("_inc", True)):
         builders["stg_events" + suffix] = lambda i=incremental: staging.staged_events(d.daily, d.intraday, d.cfg, i)
         builders["int_sessions" + suffix] = lambda i=incremental: sessions.sessions(
-            d.staged, d.cfg, i, d.sessions if i else None
+            d.staged, d.cfg, i, index=d.warehouse.session_index if i else None
         )
         builders["int_first_visit" + suffix] = lambda i=incremental: first_visit.first_visits(d.staged, d.cfg, i)
         for name, mart in MARTS.items():

@@ -15,7 +15,6 @@ from helpers import assert_matches_sql, canonical, duck, spark_rows
 from trailweave.llm import conversation_repair as repair
 from trailweave.llm import queries
 
-SF = "/root/testdata/sf0.001"
 SCHEMA = "conv_id long, turn long, role string, text string, cost string"
 QUERY = "op12_conversation_repair"
 
@@ -140,8 +139,13 @@ def random_rows(seed: int, n: int):
     ]
 
 
-def test_whole_table_against_sql(spark):
-    assert_matches_sql(queries.QUERIES[QUERY](spark, SF), duck(SF), queries.ORACLE_SQL[QUERY])
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_whole_table_against_sql_and_plainly(spark, sf):
+    con = duck(f"/root/testdata/sf{sf}")
+    found = queries.QUERIES[QUERY](spark, f"/root/testdata/sf{sf}")
+    assert_matches_sql(found, con, queries.ORACLE_SQL[QUERY])
+    rows = con.execute("SELECT conv_id, turn, role, text FROM conversations").fetchall()
+    assert spark_rows(found) == canonical(COLUMNS, plain(rows))
 
 
 @pytest.mark.parametrize("seed", [1, 2])

@@ -214,11 +214,13 @@ ORACLE_SQL: dict[str, str] = {
             SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
                    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
             FROM keyed, range(CASE WHEN kind = 3 THEN 2 ELSE 1 END) WHERE kind <> 0),
+        -- repeated rows get their places before it is told which of them is the first
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM faulty),
         placed AS (
-            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
-                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth,
+            SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) AS nth,
                    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said
-            FROM faulty),
+            FROM ranked),
         read AS (
             SELECT *, left(role, 1) AS initial, said = '' AS blank, said <> '' AND nth > 1 AS duplicate,
                    said <> '' AND nth = 1 AND right(said, 1) NOT IN ('.', '!', '?') AS truncated,

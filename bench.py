@@ -80,7 +80,7 @@ def main() -> None:
     d = Deployment(spark, SF_DIR)
 
     once = {"export": timed(lambda: d.daily), "silver": timed(lambda: d.warehouse)}
-    once["marts"] = timed(lambda: [d.warehouse.refresh_mart(name) for name in MARTS])
+    once["marts"] = timed(lambda: [d.stored_mart(name) for name in MARTS])
     builders = {}
     for suffix, incremental in (("", False), ("_inc", True)):
         builders["stg_events" + suffix] = lambda i=incremental: staging.staged_events(d.daily, d.intraday, d.cfg, i)

@@ -103,8 +103,29 @@ def plain_lines(rows):
 
 
 def test_lines(spark):
-    found = line_dedup.line_duplicates(table(spark, LINES)).collect()
-    assert Counter(map(tuple, found)) == plain_lines(list(enumerate(LINES)))
+    # a long text that loses lines in few and far words
+    spread = "\n".join(SHARED if k in (70, 700, 701) else f"line {k} of a text that is long but none else has" for k in range(1000))
+    texts = [*LINES, spread, "last"]
+    found = line_dedup.line_duplicates(table(spark, [*texts, SHARED])).collect()
+    assert Counter(map(tuple, found)) == plain_lines(list(enumerate([*texts, SHARED])))
+
+
+def test_lines_are_lost_by_their_place_in_the_stream(spark):
+    """The first row of a hash keeps the line, over borders of partitions; another order gives another owner."""
+    held = [(9, 0, 1), (7, 0, 0), (5, 1, 2), (3, 1, 1), (1, 2, 0), (8, 2, 5)]  # doc_id, part, pos, in stream order
+    rows = [(doc, 0, pos, 1, 1, 1, part, part * 10 + k) for k, (doc, part, pos) in enumerate(held)]
+    rows += [(doc, 0, 0, 2, 1, 1, 2, 100 + doc) for doc in range(4)]  # too few documents
+    schema = "doc_id long, text_hash long, pos int, h1 long, h2 long, lead int, part int, place long"
+    lost = line_dedup.lost_lines(spark.createDataFrame(rows, schema)).collect()
+    assert {r.doc_id for r in lost} == {7, 5, 3, 1, 8} and len(lost) == 5
+    turned = [(*r[:7], -r[7]) for r in rows]
+    assert {r.doc_id for r in line_dedup.lost_lines(spark.createDataFrame(turned, schema)).collect()} == {9, 7, 5, 3, 1}
+
+
+def test_line_stream_is_sorted(spark):
+    rows = line_dedup.line_stream(table(spark, LINES)).orderBy("place").collect()
+    assert len(rows) > 700 and [(r.h1, r.h2, -r.doc_id, r.pos) for r in rows] == sorted((r.h1, r.h2, -r.doc_id, r.pos) for r in rows)
+    assert len({r.place for r in rows}) == len(rows)
 
 
 def test_lines_repeated_rows_null_ids_empty(spark):

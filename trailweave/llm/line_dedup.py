@@ -1,10 +1,11 @@
 """Line deduplication: lines that many documents share stay in one of them only.
 
 A line's key is hashed to 128 bits. One row per long line (hash, document, position) is
-range-partitioned by hash with a secondary sort by document and position, so that the first row
-of a hash in the stream is the one of the document that keeps the line, and a hash that a third
-of all documents hold spreads over as many partitions as it fills. Each partition reduces its
-stretch of the stream to one row per hash before these meet. What returns to the documents is a
+range-partitioned by hash with a secondary sort by document and position, and every row gets its
+place in this stream. The row of a hash with the first place is of the document that keeps the
+line. A hash that a third of all documents hold runs on through as many partitions as it fills:
+each reports its own first row and number of documents, and what these add up to goes back to each
+partition's stretch, never to all rows of the hash at once. What returns to the documents is a
 bitmap of dropped lines, 64 to a word and only words with a drop; the text itself is never sorted.
 """
 
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, fresh, lower_ascii, write_table
+from .common import BLANKS, fresh, lower_ascii, sent_if_small, write_table
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -55,20 +56,38 @@ def _with_lead(rows: str) -> Column:
     return F.transform(rows, marked)
 
 
-def dropped_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(doc_id, text_hash, dropped): dropped is an array of (word, bits), for documents that lose a line.
+def line_stream(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """line_rows() in the order of hash, document (largest first, null last) and position, as a written table.
 
-    Bit k of word w stands for line 64 w + k. Equal rows of `docs` share a bitmap.
+    `part` is a row's partition of the stream, `place` grows along the stream through all partitions.
     """
     rows = write_table(line_rows(docs, min_chars), "lines")
     stream = ["h1", "h2", F.col("doc_id").desc_nulls_last(), "text_hash", "pos"]
-    ranged = rows.repartitionByRange(*stream).sortWithinPartitions(*stream)
-    # the first document in the stream is the largest
-    owners = ranged.groupBy("h1", "h2").agg(
-        F.max("doc_id").alias("owner"), F.sum("lead").alias("n_docs")
+    ordered = rows.repartitionByRange(*stream).sortWithinPartitions(*stream)
+    placed = ordered.withColumns({"part": F.spark_partition_id(), "place": F.monotonically_increasing_id()})
+    return write_table(placed, "stream")
+
+
+def lost_lines(stream: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """Rows of the stream whose line `min_docs` or more documents hold, but for those of the first one's doc_id."""
+    runs = stream.groupBy("h1", "h2", "part").agg(
+        F.min("place").alias("place"), F.min_by("doc_id", "place").alias("owner"), F.sum("lead").alias("n_docs")
+    )
+    runs = write_table(runs, "runs")
+    owners = runs.groupBy("h1", "h2").agg(
+        F.min_by("owner", "place").alias("owner"), F.sum("n_docs").alias("n_docs")
     ).where(F.col("n_docs") >= min_docs)
-    owners = write_table(owners.select("h1", "h2", "owner"), "owners")
-    lost = rows.join(owners, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("owner")))
+    # a run is a hash's rows within one partition, however many rows the hash has
+    shared = write_table(runs.drop("owner", "n_docs", "place").join(owners.drop("n_docs"), ["h1", "h2"]), "shared")
+    return stream.join(sent_if_small(shared), ["h1", "h2", "part"]).where(~F.col("doc_id").eqNullSafe(F.col("owner")))
+
+
+def dropped_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(doc_id, text_hash, dropped): dropped is an array of (word, bits), for documents that lose a line.
+
+    Bit k of word w stands for line 64 w + k. Equal rows of `docs` share a bitmap.
+    """
+    lost = lost_lines(line_stream(docs, min_chars), min_docs)
     words = lost.groupBy("doc_id", "text_hash", F.floor(F.col("pos") / WORD_BITS).cast("int").alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("pos") % WORD_BITS)).alias("bits")
     )
@@ -77,12 +96,14 @@ def dropped_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
 
 def _kept(lines: Column, dropped: Column) -> Column:
     """Lines whose bit is not set."""
-    words = F.map_from_entries(dropped)
-    # words in place, so that a line finds its own at once
-    last = F.floor((F.size(lines) - 1) / WORD_BITS).cast("int")
-    dense = F.transform(F.sequence(F.lit(0), last), lambda w: F.coalesce(F.try_element_at(words, w), F.lit(0).cast("long")))
+    zero = F.lit(0).cast("long")
+    # words in place, each after zeros for those without a drop, so that a line finds its own at once
+    gap = lambda word, i: word["word"] - F.when(i > 0, F.get(dropped, i - 1)["word"]).otherwise(-1) - 1
+    dense = F.flatten(F.transform(dropped, lambda word, i: F.concat(F.array_repeat(zero, gap(word, i)), F.array(word["bits"]))))
+    all_words = F.floor((F.size(lines) + WORD_BITS - 1) / WORD_BITS).cast("int")
+    rest = all_words - F.element_at(dropped, -1)["word"] - 1
     split = F.transform(
-        dense, lambda bits, w: F.filter(
+        F.concat(dense, F.array_repeat(zero, rest)), lambda bits, w: F.filter(
             F.slice(lines, w * WORD_BITS + 1, F.lit(WORD_BITS)),
             lambda line, k: F.call_function("shiftrightunsigned", bits, k).bitwiseAND(F.lit(1).cast("long")) == 0,
         ),

@@ -168,30 +168,84 @@ def test_languages(spark, docs):
 
 
 def test_transducers():
-    grammar = toxicity.Grammar(frozenset({"oaf"}), frozenset({"blun"}), (0.0,) * (len(toxicity.CLAUSES) + 4))
-    at = {c: k for k, c in enumerate(toxicity.CLAUSES)}
+    grammar = toxicity.Grammar(frozenset({"oaf"}), frozenset({"blun"}))
 
     def kinds(text):
-        f = grammar.features(text)
-        return {c for c, k in at.items() if f[k] > 0}
-
-    assert kinds("you oaf.") == {"insult at target"}
-    assert kinds("an oaf. you.") == {"insult"}
-    assert kinds("not an oaf") == {"not insult"}
-    assert kinds("not one of them was really an oaf") == {"insult at target"}
-    assert kinds("she said blunderer") == {"reported insult at target"}
-    assert kinds("he said no oaf; I will kill you") == {"reported not insult at target", "threat at target"}
+        return {(*k, n) for k, n in grammar.clauses(text).items() if k}
+
+    assert kinds("you oaf.") == {("insult", "near target", 1, 1)}
+    assert kinds("an oaf. you.") == {("insult", "alone", 1, 1)}
+    assert kinds("not an oaf") == {("not insult", "alone", 1, 1)}
+    assert kinds("not one of them was really an oaf") == {("insult", "with target", 1, 1)}
+    assert kinds("she said blunderer") == {("reported insult", "near target", 1, 1)}
+    assert kinds("he said no oaf; I will kill you") == {("reported not insult", "near target", 1, 1), ("threat", "near target", 1, 1)}
+    assert kinds("oaf oaf oaf oaf! oaf oaf? an oaf, oaf") == {("insult", "alone", 3, 1), ("insult", "alone", 2, 2)}
     assert kinds("") == kinds(None) == kinds("fine words") == set()
-
-
-def test_negated_and_reported_insults_are_no_insults():
-    """All features come from what the transducers emit: a word counts as an insult only where it is one."""
-    grammar = toxicity.Grammar(frozenset({"oaf", "twit"}))
-    at = len(toxicity.CLAUSES)
-    assert grammar.features("an oaf and a twit, an oaf")[at:] == pytest.approx(np.log1p([3, 2, 15]))
-    for text in ("not an oaf. never a twit", "she said oaf and twit", "he called them no oaf"):
-        assert grammar.features(text)[at:] == [0, 0, 0]
-    assert grammar.features("she said twit. an oaf")[at:] == pytest.approx(np.log1p([1, 1, 5]))
+    assert grammar.clauses("one. two!\n\n three")[None] == 3
+
+
+FORMS = ["an oaf", "not", "said", "you", "kill", ".", "word", "oaf", "never"]
+plain_class = {"oaf": "insult", "kill": "threat", "you": "target", "not": "no", "never": "no", "said": "say"}.get
+
+
+def plain_clauses(text):
+    """Clause kinds by looking back and forth over each clause's words, without machines."""
+    out = Counter()
+    for clause in text.split("."):
+        words = [plain_class(w) for w in clause.split()]
+        harms = []
+        for k, word in enumerate(words):
+            if word in ("insult", "threat"):
+                negated = "no" in words[max(k - toxicity.SCOPE, 0) : k]
+                harms.append((k, "reported " * ("say" in words[:k]) + "not " * negated + word))
+        if not harms:
+            continue
+        top = min((h for _, h in harms), key=toxicity.HARMS.index)
+        targets = [k for k, w in enumerate(words) if w == "target"]
+        # nearness counts between neighbours: a target and the last harm before it, a harm and the last target before it
+        pairs = [(k, max((t for t in targets if t < k), default=None)) for k, h in harms if h == top]
+        pairs += [(max((k for k, h in harms if h == top and k < t), default=None), t) for t in targets]
+        gaps = [abs(k - t) for k, t in pairs if k is not None and t is not None]
+        aim = "alone" if not targets else "near target" if gaps and min(gaps) <= toxicity.NEAR else "with target"
+        out[top, aim, min(sum(h == top for _, h in harms), toxicity.INTENSE)] += 1
+    return out
+
+
+def test_clauses_as_by_looking_at_each():
+    grammar, rng = toxicity.Grammar(frozenset({"oaf"})), np.random.default_rng(3)
+    for _ in range(2000):
+        text = " ".join(rng.choice(FORMS, rng.integers(0, 40)))
+        found = grammar.clauses(text)
+        assert Counter({k: n for k, n in found.items() if k}) == plain_clauses(text), text
+
+
+def test_negated_and_quoted_insults_lower_the_score(spark):
+    rng = np.random.default_rng(2)
+    rows, marks = [], []
+    for i in range(300):
+        clauses = [" ".join(rng.choice([f"w{k}" for k in range(200)], 5)) for _ in range(6)]
+        for at in rng.choice(6, 3, replace=False):
+            kind = ("a real {}", "not a {}", "he said a {}")[i % 3]
+            clauses[at] += " " + kind.format(rng.choice(["oaf", "twit", "dolt"]))
+        rows.append((i, ". ".join(clauses), "en", "s", 0))
+        marks.append((i, 1, int(i % 3 == 0 or i % 17 == 1)))
+    # words that toxic texts share only
+    rows += [(1000 + i, f"w{i} w2 {w}. w3 {w} w4", "en", "s", 0) for i, w in enumerate(["oaf", "twit", "dolt"] * 200)]
+    marks += [(1000 + i, 1, 1) for i in range(600)]
+    rows += [(2000 + i, f"w{i} w{i % 7}", "en", "s", 0) for i in range(3000)]
+    marks += [(2000 + i, 1, 0) for i in range(3000)]
+    grammar = toxicity.learn(spark.createDataFrame(rows, DOCS), spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+    weights = dict(zip(toxicity.FEATURES, grammar.weights[1:], strict=True))
+    assert {"oaf", "twit", "dolt"} <= grammar.words
+    assert all(w * sign >= 0 for w, sign in zip(weights.values(), toxicity.SIGNS, strict=True)) and weights["insult"] + weights["share"] > 0
+
+    def score(text):
+        return grammar.scores(np.array([grammar.features(text)]))[0]
+
+    plain = "a real oaf. you twit and dolt. w5 w6"
+    for marked in ("not real oaf. never twit and dolt. w5 w6", "he said oaf. she called you twit and dolt. w5 w6"):
+        assert score(marked) < score(plain)
+        assert score(marked) <= score("w1 w2. w3 w4. w5 w6")
 
 
 def plain_held(doc_id, mod, rest):

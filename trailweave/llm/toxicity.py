@@ -2,10 +2,11 @@
 
 Words become symbols (insult, threat, target, negation, reported speech, clause end, other). A
 negation transducer rewrites insults and threats within its scope, a reported-speech transducer
-those that follow a verb of saying, and the clause grammar passes marked harm on, reads up to the
-clause's end and emits the kind of clause. The three are composed into one table at start. A text's
-score is the logistic of the weighted counts of its clause kinds and of the insults that were
-emitted unmarked, neither negated nor reported.
+those that follow a verb of saying, and the clause grammar reads up to the clause's end and emits
+the kind of clause: its strongest harm, whether negated or reported, how near a target is, and how
+often the harm comes. The three are composed into one table at start. A text's score is the logistic
+of weighted counts of its clause kinds; words outside of clauses count nowhere. Kinds with plain harm
+never weigh less than nothing, those with negated or reported harm never more.
 
 Which words are insults, and the weights of the clause kinds, are learned from labelled rows.
 The other word classes are fixed lists of function words.
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 import numpy as np
@@ -48,13 +49,16 @@ THREATS = (
 
 #: Bound of the sample of labelled rows that is learned from.
 MAX_LABELLED = 20_000
-#: At most so many learned insults.
-MAX_LEXICON = 4_000
-#: Deviations of a word's toxic share from the mean that make it an insult.
+#: Toxic texts that a word must be in, and deviations of its toxic share from the mean, to be an insult.
+MIN_TEXTS = 4
 MIN_DEVIATIONS = 6.0
 #: Beginnings of words that are learned beside whole words, as their endings vary.
 STEMS = (4, 5, 6)
 SCOPE = 3
+#: Words between a target and a harm, at most, for the harm to be aimed at it.
+NEAR = 3
+#: Harms of one strength in a clause are counted up to this; it is the highest level of intensity, not a cut of text.
+INTENSE = 3
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, END, OTHER = "insult", "threat", "target", "negation", "report", "end", "other"
 _HARM = (INSULT, THREAT)
@@ -107,37 +111,81 @@ def reported_speech() -> Transducer:
     return Transducer(table)
 
 
-HARMS = [f"{r}{n}{h}" for h in _HARM for n in ("", "not ") for r in ("", "reported ")]
-#: Kinds of clauses with harm: the strongest harm in it, aimed at a target or not.
-CLAUSES = [f"{h}{at}" for h in HARMS for at in ("", " at target")]
+#: What the first two transducers make of harm, the strongest first.
+HARMS = [f"{r}{n}{h}" for n, r in (("", ""), ("not ", ""), ("", "reported "), ("not ", "reported ")) for h in (THREAT, INSULT)]
+#: How a clause's harm stands to a target: within NEAR words, elsewhere in the clause, without one.
+AIMS = ("near target", "with target", "alone")
+#: Kinds of clauses: strongest harm, aim, and times of that harm (INTENSE or more are the highest level).
+CLAUSES = [(h, aim, times) for h in HARMS for aim in AIMS for times in range(1, INTENSE + 1)]
 
 
 def clause_grammar() -> Transducer:
-    """Emits each harm as marked and a clause's kind at its end, or nothing (an empty string) for one without harm."""
-    order = {h: k for k, h in enumerate(HARMS)}  # earlier is stronger
-    states = [(h, t) for h in (None, *HARMS) for t in (False, True)]
-    number = {s: k for k, s in enumerate(states)}
-    table = {}
-    for harm, aimed in states:
+    """Emits a clause's kind at its end, or nothing (an empty string) for one without harm.
+
+    A state is (strongest harm, aim of it, times, words since the last target, words since that harm);
+    distances beyond NEAR are one, as nothing tells them apart.
+    """
+    order, far = {h: k for k, h in enumerate(HARMS)}, NEAR + 1
+    first = (None, 2, 0, None, None)
+
+    def after(state: tuple, symbol: str) -> tuple:
+        harm, aim, times, target, since = state
+        target = None if target is None else min(target + 1, far)
+        since = None if since is None else min(since + 1, far)
+        if symbol == TARGET:
+            aim = aim if harm is None else 0 if since <= NEAR else min(aim, 1)
+            target = 0
+        elif symbol in order and (harm is None or order[symbol] < order[harm]):
+            harm, times, since = symbol, 1, 0
+            aim = 2 if target is None else 0 if target <= NEAR else 1
+        elif symbol == harm:
+            times, since = min(times + 1, INTENSE), 0
+            aim = min(aim, 2 if target is None else 0 if target <= NEAR else 1)
+        return harm, aim, times, target, since
+
+    number, todo, table = {first: 0}, [first], {}
+    while todo:
+        state = todo.pop()
         for symbol in (*HARMS, TARGET, END, OTHER):
-            if symbol == END:
-                table[number[harm, aimed], symbol] = (0, "" if harm is None else harm + " at target" * aimed)
-                continue
-            stronger = symbol in order and (harm is None or order[symbol] < order[harm])
-            after = (symbol if stronger else harm, aimed or symbol == TARGET)
-            table[number[harm, aimed], symbol] = (number[after], symbol if symbol in order else "")
+            to = first if symbol == END else after(state, symbol)
+            if to not in number:
+                number[to] = len(number)
+                todo.append(to)
+            harm, aim, times, *_ = state
+            table[number[state], symbol] = (number[to], (harm, AIMS[aim], times) if symbol == END and harm else "")
     return Transducer(table)
 
 
+def composed(negations: bool = True, reports: bool = True) -> dict:
+    """Table of the transducers in a row; one that is left out passes its input on, for comparison."""
+    machine = negation() if negations else _passing((*_SYMBOLS,), {NEGATION: OTHER})
+    marked = (*_SYMBOLS, *(f"not {h}" for h in _HARM))
+    return machine.then(reported_speech() if reports else _passing(marked, {REPORT: OTHER})).then(clause_grammar()).table
+
+
+def _passing(symbols: tuple[str, ...], renamed: dict[str, str]) -> Transducer:
+    return Transducer({(0, s): (0, renamed.get(s, s)) for s in symbols})
+
+
+#: What is weighed: clauses of each harm; of plain harm also those with a target, a near one, and by times; their share.
+FEATURES = [*HARMS, *((h, a) for h in _HARM for a in AIMS[:2]), *((h, t) for h in _HARM for t in range(2, INTENSE + 1)), "share"]
+#: Signs of their weights: plain harm never lowers a score, negated or reported harm never raises one.
+SIGNS = np.array([-1.0 if isinstance(f, str) and f.startswith(("not ", "reported ")) else 1.0 for f in FEATURES])
+#: Texts of fewer clauses count as this many in the share.
+MIN_CLAUSES = 2
+
+
 @dataclass(frozen=True)
 class Grammar:
     words: frozenset[str] = frozenset()
     stems: frozenset[str] = frozenset()
     weights: tuple[float, ...] = field(default=())
+    negations: bool = True
+    reports: bool = True
 
     @cached_property
     def _machine(self) -> dict:
-        return negation().then(reported_speech()).then(clause_grammar()).table
+        return composed(self.negations, self.reports)
 
     @cached_property
     def _classes(self) -> dict[str, str]:
@@ -149,27 +197,35 @@ class Grammar:
     def is_insult(self, word: str) -> bool:
         return word in self.words or any(word[:k] in self.stems for k in STEMS if len(word) >= k)
 
-    def features(self, text: str | None) -> list[float]:
-        """Logarithms of: clauses of each kind; insults neither negated nor reported, different ones, those per hundred words."""
+    def clauses(self, text: str | None) -> Counter:
+        """Clauses with harm by kind, as the composed transducer emits them, and the number of all clauses under None."""
         tokens = _TOKENS.findall((text or "").lower())
         insults = {t for t in set(tokens) if self.is_insult(t)} if self.words or self.stems else set()
-        counts: Counter[str] = Counter()
-        clear: Counter[str] = Counter()
-        classes, machine, state, n = self._classes, self._machine, 0, 0
-        for token in tokens:
+        counts: Counter = Counter()
+        classes, machine, state, empty = self._classes, self._machine, 0, True
+        for token in (*tokens, "."):
             symbol = INSULT if token in insults else classes.get(token, OTHER)
             state, out = machine[state, symbol]
-            n += symbol != END
+            if out:
+                counts[out] += 1
             if symbol == END:
-                if out:
-                    counts[out] += 1
-            elif out == INSULT:
-                clear[token] += 1
-        if out := machine[state, END][1]:
-            counts[out] += 1
-        hits = clear.total()
-        rest = [hits, len(clear), 100 * hits / max(n, 20)]
-        return [float(np.log1p(v)) for v in [*(counts[c] for c in CLAUSES), *rest]]
+                counts[None] += not empty
+            empty = symbol == END
+        return counts
+
+    def features(self, text: str | None) -> list[float]:
+        """See FEATURES: logarithms of clause counts by harm with aim or times, and the share of clauses with plain harm."""
+        counts = self.clauses(text)
+        summed: Counter = Counter()
+        for kind, n in counts.items():
+            if kind:
+                harm, aim, times = kind
+                plain = harm in _HARM
+                for f in [harm, *((harm, a) for a in AIMS[:2] if plain and AIMS.index(aim) <= AIMS.index(a)),
+                          *((harm, t) for t in range(2, times + 1) if plain)]:
+                    summed[f] += n
+        share = sum(n for kind, n in counts.items() if kind and kind[0] in _HARM) / max(counts[None], MIN_CLAUSES)
+        return [*(float(np.log1p(summed[f])) for f in FEATURES[:-1]), float(np.log1p(100 * share))]
 
     def scores(self, rows: np.ndarray) -> np.ndarray:
         w = np.array(self.weights)
@@ -181,33 +237,45 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))
 
 
-def _lexicon(counted: pd.DataFrame, mean: float) -> list[str]:
-    n = counted["toxic"] + counted["clean"]
-    far = (counted["toxic"] - n * mean) / np.sqrt(np.maximum(n * mean * (1 - mean), 1e-9))
-    found = counted.assign(far=far)[(far >= MIN_DEVIATIONS) & (counted["toxic"] > counted["clean"])]
-    return found.sort_values(["far", "term"], ascending=[False, True])["term"].head(MAX_LEXICON).tolist()
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 100) -> tuple[float, ...]:
+    """Ridge logistic weights, each on its side of zero by SIGNS: Newton steps over the weights that are free, cut at zero."""
+    x = np.column_stack([np.ones(len(x)), x * SIGNS])
+    w, penalty = np.zeros(x.shape[1]), np.r_[1e-3, np.full(x.shape[1] - 1, ridge)]
 
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(np.logaddexp(0, z).sum() - y @ z + (penalty * w * w).sum() / 2)
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30) -> tuple[float, ...]:
-    x = np.column_stack([np.ones(len(x)), x])
-    w, penalty = np.zeros(x.shape[1]), ridge * np.eye(x.shape[1])
-    penalty[0, 0] = 1e-3
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - y) + penalty @ w
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + penalty
-        step = np.linalg.solve(hessian, gradient)
-        w -= step
-        if np.abs(step).max() < 1e-6:
+        gradient = x.T @ (p - y) + penalty * w
+        free = (w > 0) | (gradient < 0)
+        free[0] = True
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        step = np.zeros_like(w)
+        step[free] = np.linalg.solve(hessian[np.ix_(free, free)], gradient[free])
+        now, size = loss(w), 1.0
+        while True:
+            to = w - size * step
+            to[1:] = np.maximum(to[1:], 0)
+            if loss(to) <= now or size < 1e-6:
+                break
+            size /= 2
+        done, w = np.abs(to - w).max() < 1e-7, to
+        if done:
             break
-    return tuple(float(v) for v in w)
+    return (float(w[0]), *(float(v) for v in w[1:] * SIGNS))
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Grammar:
+def learn(
+    docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, negations: bool = True, reports: bool = True
+) -> Grammar:
     """Insults and weights from at most `max_labelled` labelled rows that are not held out (lowest hashes).
 
-    Copies of a text count once. Without toxic or without clean rows every text scores the share
-    of toxic ones.
+    An insult is a word, or a beginning of words, that MIN_TEXTS toxic texts of the sample hold and that
+    is MIN_DEVIATIONS more often toxic than texts are; what is collected is a part of the sample's words.
+    `negations` and `reports` leave a transducer out, for comparison. Copies of a text count once. Without toxic
+    or without clean rows every text scores the share of toxic ones.
     """
     marked = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
@@ -229,20 +297,17 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     shares = texts.agg(F.avg("toxic"), F.sum("toxic"), F.count("*")).first()
     mean = float(shares[0] or 0.0)
     if not 0 < mean < 1:
-        return Grammar(weights=(float(np.log((mean + 1e-6) / (1 - mean + 1e-6))), *[0.0] * (len(CLAUSES) + 3)))
+        return Grammar(weights=(float(np.log((mean + 1e-6) / (1 - mean + 1e-6))), *[0.0] * len(FEATURES)))
     counted = texts.select("toxic", F.explode(terms("text")).alias("term")).groupBy("term").agg(
         F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")
     )
-    # the same bar as in _lexicon, so that only candidates leave the executors
     n = F.col("toxic") + F.col("clean")
     bar = F.col("toxic") - n * mean >= MIN_DEVIATIONS * F.sqrt(n * mean * (1 - mean))
-    candidates = counted.where(bar & (F.col("toxic") > F.col("clean")) & (F.col("toxic") >= 4))
-    best = candidates.orderBy(F.desc("toxic"), F.asc("clean"), "term").limit(2 * MAX_LEXICON).toPandas()
-    chosen = _lexicon(best, mean)
-    grammar = Grammar(
-        frozenset(t for t in chosen if not t.endswith("*")), frozenset(t[:-1] for t in chosen if t.endswith("*"))
-    )
-    shared = docs.sparkSession.sparkContext.broadcast(grammar)  # at most MAX_LEXICON words
+    insults = counted.where(bar & (F.col("toxic") > F.col("clean")) & (F.col("toxic") >= MIN_TEXTS))
+    chosen = insults.select("term").toPandas()["term"].tolist()
+    whole, cut = (frozenset(t.removesuffix("*") for t in chosen if t.endswith("*") == stem) for stem in (False, True))
+    grammar = Grammar(whole, cut, (), negations, reports)
+    shared = docs.sparkSession.sparkContext.broadcast(grammar)  # as many words as were collected
 
     @F.pandas_udf("array<double>")
     def features(texts: pd.Series) -> pd.Series:
@@ -251,7 +316,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     rows = texts.select("toxic", features("text").alias("x")).toPandas()
     x, y = np.array(rows["x"].tolist(), float), rows["toxic"].to_numpy(float)
     order = np.lexsort((*x.T, y))  # sums in the same order whatever the rows' order
-    return Grammar(grammar.words, grammar.stems, _logistic(x[order], y[order]))
+    return replace(grammar, weights=_logistic(x[order], y[order]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:

@@ -59,6 +59,18 @@ def test_exact_repeated_and_null_ids(spark):
     assert Counter(map(tuple, left)) == Counter([(7, "x"), (3, "y"), (3, "z")])
 
 
+def test_exact_hot_group_meets_in_runs(spark):
+    """A third of all rows are copies of one text: no join or grouping takes them by the text's name alone."""
+    texts = ["hot" if i % 3 else f"own {i}" for i in range(1500)]
+    ids = [None if i % 7 == 0 else i // 2 for i in range(1500)]
+    docs = table(spark, texts, ids).repartition(12)
+    found = exact_dedup.exact_duplicates(docs)
+    assert Counter(map(tuple, found.drop("row").collect())) == plain_exact(list(zip(ids, texts)))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert joins and "part" in joins[0] and found.select("row").distinct().count() == 1500
+
+
 def test_exact_names_do_not_rest_on_hashes(spark):
     docs = table(spark, TEXTS)
     weak = exact_dedup.identities(docs, F.col("text"), {"doc_id": F.col("doc_id")}, 64, lambda b: F.xxhash64(b) % 3)

@@ -23,6 +23,8 @@ from .common import fresh, keep_one, lower_ascii, write_table
 BLOCK_BYTES = 4096
 #: Right half of a pair that has none; names are never negative.
 NO_NAME = -1
+#: monotonically_increasing_id() holds the partition above these bits.
+PART_BITS = 33
 
 
 def _blocks(text: Column, block_bytes: int) -> Column:
@@ -110,10 +112,15 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
     """
     text = lower_ascii(F.col("text"))
     named = identities(docs, text, {"doc_id": F.col("doc_id"), "text_sha256": F.sha2(text, 256)}, block_bytes)
-    groups = named.groupBy("n_bytes", "name").agg(
-        F.max(F.struct("doc_id", "row")).alias("keep"), F.count("*").alias("group_size")
+    # a group meets in runs, its rows from one partition of the input, and never as a whole
+    named = named.withColumn("part", F.shiftright("row", PART_BITS))
+    keep, size = F.max(F.struct("doc_id", "row")), F.count("*")
+    runs = write_table(
+        named.groupBy("n_bytes", "name", "part").agg(keep.alias("keep"), size.alias("group_size")), "runs"
     )
-    return named.join(groups, ["n_bytes", "name"]).select(
+    groups = runs.groupBy("n_bytes", "name").agg(F.max("keep").alias("keep"), F.sum("group_size").alias("group_size"))
+    found = runs.select("n_bytes", "name", "part").join(groups, ["n_bytes", "name"])
+    return named.join(found, ["n_bytes", "name", "part"]).select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("keep.row")).alias("kept"), "text_sha256", "row",
     )

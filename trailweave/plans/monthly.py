@@ -1,4 +1,7 @@
-"""Monthly marts: channel, device and city performance, and the two funnels."""
+"""Monthly marts: channel, device and city performance, and the two funnels.
+
+Each takes staged events and, where there is one, the base combined from them in their place.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +14,8 @@ from ..functions.calendar import days_elapsed, month_start
 from ..functions.text import city_state_country
 from ..operators.incremental import since
 from ..operators.rollup import IS_TOTAL, row_sort, total_rollup
-from .reach import carry, event_counts, item_reach, keys_of, order_counts, revenue_sums, session_quality, visit_reach
+from .monthly_base import BaseSource, StagedSource
+from .reach import carry, keys_of, session_quality, visit_reach
 
 MONTH = ["month"]
 
@@ -22,6 +26,14 @@ def _monthly(df: DataFrame, day: str, cfg: EngineConfig, incremental: bool) -> D
     return since(df, day, boundary).withColumn("month", month_start(F.col(day)))
 
 
+def _source(
+    staged: DataFrame, cfg: EngineConfig, incremental: bool, base: BaseSource | None
+) -> StagedSource | BaseSource:
+    if base is None:
+        return StagedSource(_monthly(staged, "event_date", cfg, incremental))
+    return base.each(lambda df: since(df, "month", cfg.month_boundary if incremental else None))
+
+
 def _share_of_rows(column: str) -> Column:
     """Share of the sum over the month's own rows, which always adds up to 100."""
     own = F.when(F.col(IS_TOTAL) == 1, F.lit(0)).otherwise(F.col(column))
@@ -51,21 +63,25 @@ def _revenue() -> dict[str, Column]:
 
 
 def channel_performance(
-    staged: DataFrame, sessions: DataFrame, cfg: EngineConfig, incremental: bool = False
+    staged: DataFrame,
+    sessions: DataFrame,
+    cfg: EngineConfig,
+    incremental: bool = False,
+    base: BaseSource | None = None,
 ) -> DataFrame:
     """Month by marketing channel, with the month's Total row."""
     dims = ["marketing_channel"]
     keys = keys_of(MONTH, dims)
-    events = _monthly(staged, "event_date", cfg, incremental).withColumnRenamed("channel_group", dims[0])
+    source = _source(staged, cfg, incremental, base).renamed({"channel_group": dims[0]})
     visits = _monthly(sessions, "session_date", cfg, incremental).withColumnRenamed("channel_group", dims[0])
 
     counters = ("product_views", "cart_additions", "revenue_local", "revenue_usd")
     per_user = total_rollup(
-        events,
+        source.rows,
         MONTH,
         dims,
-        *event_counts(product_views="view_item", cart_additions="add_to_cart"),
-        *revenue_sums(),
+        *source.counts(product_views="view_item", cart_additions="add_to_cart"),
+        *source.revenue(),
         grain=["user_pseudo_id"],
     )
     known = F.col("user_pseudo_id").isNotNull()
@@ -84,8 +100,8 @@ def channel_performance(
     ).withColumn("avg_time_on_site_secs", m.ratio(F.col("duration_seconds"), F.col("visits")))
     return (
         event_side.join(session_side, keys, "left")
-        .join(order_counts(events, MONTH, dims), keys, "left")
-        .join(item_reach(events, MONTH, dims), keys, "left")
+        .join(source.orders(MONTH, dims), keys, "left")
+        .join(source.items(MONTH, dims), keys, "left")
         .withColumns({"visits": F.coalesce("visits", F.lit(0)), "orders": _orders(), **_revenue()})
         .select(
             "month",
@@ -114,28 +130,31 @@ def channel_performance(
 
 
 def device_performance(
-    staged: DataFrame, sessions: DataFrame, cfg: EngineConfig, incremental: bool = False
+    staged: DataFrame,
+    sessions: DataFrame,
+    cfg: EngineConfig,
+    incremental: bool = False,
+    base: BaseSource | None = None,
 ) -> DataFrame:
     """Month by device class, with the month's Total row; traffic is sessions."""
     dims = ["device_class"]
     keys = keys_of(MONTH, dims)
-    events = _monthly(staged, "event_date", cfg, incremental)
-    quantity = F.when(m.is_event("purchase"), F.coalesce("item_quantity", F.lit(0))).otherwise(F.lit(0))
+    source = _source(staged, cfg, incremental, base)
     event_side = total_rollup(
-        events,
+        source.rows,
         MONTH,
         dims,
-        *event_counts(product_views="view_item", add_to_cart="add_to_cart"),
-        F.sum(quantity).alias("quantity"),
-        *revenue_sums(),
+        *source.counts(product_views="view_item", add_to_cart="add_to_cart"),
+        source.quantity(),
+        *source.revenue(),
     )
     session_side = session_quality(
         _monthly(sessions, "session_date", cfg, incremental), MONTH, dims, F.count("*").alias("traffic")
     )
     return (
         event_side.join(session_side, keys, "left")
-        .join(order_counts(events, MONTH, dims), keys, "left")
-        .join(item_reach(events, MONTH, dims), keys, "left")
+        .join(source.orders(MONTH, dims), keys, "left")
+        .join(source.items(MONTH, dims), keys, "left")
         .withColumns({"traffic": F.coalesce("traffic", F.lit(0)), "orders": _orders()})
         .withColumns({c: m.money(F.col(c)) for c in ("revenue_local", "revenue_usd")})
         .select(
@@ -164,21 +183,25 @@ def device_performance(
 
 
 def city_performance(
-    staged: DataFrame, sessions: DataFrame, cfg: EngineConfig, incremental: bool = False
+    staged: DataFrame,
+    sessions: DataFrame,
+    cfg: EngineConfig,
+    incremental: bool = False,
+    base: BaseSource | None = None,
 ) -> DataFrame:
     """Month by city, with the month's Total row; contribution is the share of users."""
     dims = ["city", "state", "country"]
     keys = keys_of(MONTH, dims)
     places = {"geo_city": "city", "geo_region": "state", "geo_country": "country"}
-    events = _monthly(staged, "event_date", cfg, incremental).withColumnsRenamed(places)
+    source = _source(staged, cfg, incremental, base).renamed(places)
     visits = _monthly(sessions, "session_date", cfg, incremental).withColumnsRenamed(places)
 
     counts = dict(product_detail_views="view_item", add_to_wishlist="add_to_wishlist", add_to_cart="add_to_cart")
     event_side = visit_reach(
-        events,
+        source.rows,
         MONTH,
         dims,
-        [*event_counts(**counts), *revenue_sums()],
+        [*source.counts(**counts), *source.revenue()],
         [*counts, "revenue_local", "revenue_usd"],
     ).withColumnsRenamed({"users": "unique_visitors", "sessions": "visits"})
     label = F.when(F.col(IS_TOTAL) == 1, F.lit("Total")).otherwise(
@@ -186,7 +209,7 @@ def city_performance(
     )
     return (
         event_side.join(session_quality(visits, MONTH, dims), keys, "left")
-        .join(order_counts(events, MONTH, dims), keys, "left")
+        .join(source.orders(MONTH, dims), keys, "left")
         .withColumns({"orders": _orders(), **_revenue()})
         .select(
             "month",
@@ -243,12 +266,18 @@ def _funnel(event_side: DataFrame, sessions: DataFrame, cfg: EngineConfig, incre
 
 
 def funnel_users(
-    staged: DataFrame, sessions: DataFrame, cfg: EngineConfig, incremental: bool = False
+    staged: DataFrame,
+    sessions: DataFrame,
+    cfg: EngineConfig,
+    incremental: bool = False,
+    base: BaseSource | None = None,
 ) -> DataFrame:
     """Open funnel by month and device class, counting distinct users at each step."""
     steps = dict(product_views="view_item", cart="add_to_cart", orders="purchase")
-    events = _monthly(staged, "event_date", cfg, incremental)
-    per_user = total_rollup(events, MONTH, ["device_class"], *event_counts(**steps), grain=["user_pseudo_id"])
+    source = _source(staged, cfg, incremental, base)
+    per_user = total_rollup(
+        source.rows, MONTH, ["device_class"], *source.counts(**steps), grain=["user_pseudo_id"]
+    )
     known = F.col("user_pseudo_id").isNotNull()
     event_side = per_user.groupBy(*keys_of(MONTH, ["device_class"])).agg(
         *[F.count_if(known & (F.col(s) > 0)).alias(s) for s in steps]
@@ -257,15 +286,18 @@ def funnel_users(
 
 
 def funnel_events(
-    staged: DataFrame, sessions: DataFrame, cfg: EngineConfig, incremental: bool = False
+    staged: DataFrame,
+    sessions: DataFrame,
+    cfg: EngineConfig,
+    incremental: bool = False,
+    base: BaseSource | None = None,
 ) -> DataFrame:
     """Open funnel by month and device class, counting events and distinct orders."""
-    events = _monthly(staged, "event_date", cfg, incremental)
+    source = _source(staged, cfg, incremental, base)
+    counts = source.counts(product_views="view_item", cart="add_to_cart")
     event_side = (
-        total_rollup(
-            events, MONTH, ["device_class"], *event_counts(product_views="view_item", cart="add_to_cart")
-        )
-        .join(order_counts(events, MONTH, ["device_class"]), keys_of(MONTH, ["device_class"]), "left")
+        total_rollup(source.rows, MONTH, ["device_class"], *counts)
+        .join(source.orders(MONTH, ["device_class"]), keys_of(MONTH, ["device_class"]), "left")
         .withColumn("orders", _orders())
     )
     return _funnel(event_side, sessions, cfg, incremental)

@@ -21,7 +21,7 @@ from ..operators.incremental import latest_snapshot, write_snapshot
 from ..operators.versions import VersionedTable, from_value
 from ..session import sized_shuffles
 from ..sources.export import read_shards
-from . import depth, first_visit, monthly, pages, product, sessions, staging, weekly
+from . import depth, first_visit, monthly, monthly_base, pages, product, sessions, staging, weekly
 from .session_index import SessionIndex
 
 
@@ -34,6 +34,8 @@ class Mart:
     cluster: tuple[str, ...] = ()
     boundary: Callable[[EngineConfig], date] | None = None
     needs_first_visits: bool = False
+    #: Rolled up from the monthly base instead of staged events.
+    from_base: bool = False
 
 
 _week: Callable[[EngineConfig], date] = lambda cfg: cfg.week_boundary
@@ -43,9 +45,9 @@ MARTS: dict[str, Mart] = {
     "weekly_performance": Mart(
         weekly.weekly_performance, "week_start_date", boundary=_week, needs_first_visits=True
     ),
-    "channel_performance": Mart(monthly.channel_performance, "month", ("marketing_channel",), _month),
-    "device_performance": Mart(monthly.device_performance, "month", ("device_class",), _month),
-    "city_performance": Mart(monthly.city_performance, "month", ("city_display",), _month),
+    "channel_performance": Mart(monthly.channel_performance, "month", ("marketing_channel",), _month, from_base=True),
+    "device_performance": Mart(monthly.device_performance, "month", ("device_class",), _month, from_base=True),
+    "city_performance": Mart(monthly.city_performance, "month", ("city_display",), _month, from_base=True),
     "product_performance": Mart(
         product.product_performance, "period_start_date", ("product_category",), EngineConfig.product_boundary
     ),
@@ -54,8 +56,8 @@ MARTS: dict[str, Mart] = {
     "city_browsing_depth_weekly": Mart(
         depth.city_browsing_depth_weekly, "week_start_date", ("city",), _week
     ),
-    "funnel_users": Mart(monthly.funnel_users, "month", ("device_class",), _month),
-    "funnel_events": Mart(monthly.funnel_events, "month", ("device_class",), _month),
+    "funnel_users": Mart(monthly.funnel_users, "month", ("device_class",), _month, from_base=True),
+    "funnel_events": Mart(monthly.funnel_events, "month", ("device_class",), _month, from_base=True),
 }
 
 
@@ -67,6 +69,7 @@ class Warehouse:
         STAGED: ("event_date", ("event_name", "user_pseudo_id")),
         SESSIONS: ("session_date", ("device_class", "channel_group")),
         FIRST_VISITS: ("bucket", ("user_pseudo_id",)),
+        **{name: ("month", cluster) for name, (_, cluster) in monthly_base.TABLES.items()},
     }
 
     def __init__(self, spark: SparkSession, cfg: EngineConfig, root: str):
@@ -100,6 +103,14 @@ class Warehouse:
     def first_visits(self) -> DataFrame:
         return self._stored(self.FIRST_VISITS).drop("bucket")
 
+    def monthly_base(self) -> monthly_base.BaseSource | None:
+        """The combined events of the monthly marts; None in a warehouse whose last run did not build them."""
+        tables = [self.table(name) for name in monthly_base.TABLES]
+        versions, now = [t.version() for t in tables], self.table(self.STAGED).version()
+        if any(v is None or v.notes["follows"] != now.number for v in versions):
+            return None
+        return monthly_base.BaseSource(*[t.read() for t in tables])
+
     def mart(self, name: str) -> DataFrame:
         return latest_snapshot(self.spark, self.path(name)) if MARTS[name].partition is None else self._stored(name)
 
@@ -113,6 +124,8 @@ class Warehouse:
             options["incremental"] = incremental
         if incremental and name == "product_performance":
             options["index"] = self.session_index
+        if mart.from_base:
+            options["base"] = self.monthly_base()
         return mart.build(*inputs, self.cfg, **options)
 
     # -- writers
@@ -147,6 +160,8 @@ class Warehouse:
         index.follow(self.table(self.SESSIONS), boundary)
         firsts = first_visit.first_visits(self.staged(), cfg, incremental)
         first_visit.commit_first_visits(self.table(self.FIRST_VISITS), firsts, cfg, incremental)
+        for name, (build, _) in monthly_base.TABLES.items():
+            monthly_base.follow(self.table(name), build, self.table(self.STAGED))
 
     def refresh_mart(self, name: str, incremental: bool = False) -> None:
         with sized_shuffles(self.staged(), self.sessions()):

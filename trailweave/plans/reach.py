@@ -31,31 +31,39 @@ def keys_of(period: Sequence[str], dims: Sequence[str]) -> list[str]:
     return [*period, *dims, IS_TOTAL]
 
 
-def order_counts(events: DataFrame, period: Sequence[str], dims: Sequence[str], label: str = "Total") -> DataFrame:
-    """Distinct order ids per group and in total.
+def named_orders(events: DataFrame) -> DataFrame:
+    """Purchases that name their order.
 
-    Reads purchase rows only; the filter reaches the scan, where the event-name clustering
-    of the staged table skips the other row groups.
+    The filter reaches the scan, where the event-name clustering of the staged table skips the
+    other row groups.
     """
     purchases = events.where(m.is_event("purchase")).withColumn("order_id", m.order_id())
+    return purchases.where(F.col("order_id").isNotNull())
+
+
+def count_orders(named: DataFrame, period: Sequence[str], dims: Sequence[str], label: str = "Total") -> DataFrame:
+    """Distinct order ids per group and in total."""
     return (
-        total_rollup(purchases.where(F.col("order_id").isNotNull()), period, dims, grain=["order_id"], label=label)
+        total_rollup(named, period, dims, grain=["order_id"], label=label)
         .groupBy(*keys_of(period, dims))
         .agg(F.count("*").alias("orders"))
     )
 
 
-def item_reach(events: DataFrame, period: Sequence[str], dims: Sequence[str], label: str = "Total") -> DataFrame:
-    """Distinct items viewed and carted.
+def order_counts(events: DataFrame, period: Sequence[str], dims: Sequence[str], label: str = "Total") -> DataFrame:
+    """Distinct order ids of the events' purchases, which are the only rows read."""
+    return count_orders(named_orders(events), period, dims, label)
 
-    A group without any item row is absent, and one whose items were neither viewed nor
-    carted counts zero. Item rows of other events only prove presence, so those events
-    contribute a single row instead of being opened up.
+
+def items_seen(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Items of the events, opened up, with what happened to them.
+
+    Item rows of other events than views and carts only prove presence, so those events
+    contribute a single row without an id instead of being opened up.
     """
     ids = F.col("items.item_id")
-    rows = events.select(
-        *period,
-        *dims,
+    return events.select(
+        *keys,
         m.is_event("view_item").cast("int").alias("viewed"),
         m.is_event("add_to_cart").cast("int").alias("carted"),
         F.explode(
@@ -64,10 +72,18 @@ def item_reach(events: DataFrame, period: Sequence[str], dims: Sequence[str], la
             )
         ).alias("item_id"),
     )
+
+
+def count_items(seen: DataFrame, period: Sequence[str], dims: Sequence[str], label: str = "Total") -> DataFrame:
+    """Distinct items viewed and carted.
+
+    A group without any item row is absent, and one whose items were neither viewed nor
+    carted counts zero.
+    """
     named = F.col("item_id").isNotNull()
     return (
         total_rollup(
-            rows, period, dims, F.max("viewed").alias("viewed"), F.max("carted").alias("carted"),
+            seen, period, dims, F.max("viewed").alias("viewed"), F.max("carted").alias("carted"),
             grain=["item_id"], label=label, merge=F.max,
         )
         .groupBy(*keys_of(period, dims))
@@ -78,6 +94,11 @@ def item_reach(events: DataFrame, period: Sequence[str], dims: Sequence[str], la
     )
 
 
+def item_reach(events: DataFrame, period: Sequence[str], dims: Sequence[str], label: str = "Total") -> DataFrame:
+    """Distinct items viewed and carted by the events."""
+    return count_items(items_seen(events, [*period, *dims]), period, dims, label)
+
+
 def visit_reach(
     events: DataFrame,
     period: Sequence[str],

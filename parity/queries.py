@@ -312,6 +312,16 @@ for _key, _mart in _GOLD.items():
     QUERIES[_key] = lambda d, name=_mart: d.mart(name)
 
 
+def _from_base(name: str) -> Query:
+    """The report as the warehouse builds it, from the combined events of the monthly base."""
+    return lambda d: d.warehouse.build_mart(name) if d.warehouse else d.mart(name)
+
+
+for _key, _mart in _GOLD.items():
+    if MARTS[_mart].from_base:
+        QUERIES[_key.replace("gold_", "base_")] = _from_base(_mart)
+
+
 @query
 def gold_plp_views_until(d: Deployment) -> DataFrame:
     """The list-page report with its cut-off date set."""

@@ -80,7 +80,7 @@ def test_staged_events_are_not_read(spark, name, incremental):
 @pytest.fixture
 def stored(spark, tmp_path):
     """Staged events of two months and the base's tables, not built yet."""
-    staged = VersionedTable(spark, str(tmp_path / "staged"), ("event_date",), keep=2)
+    staged = VersionedTable(spark, str(tmp_path / "staged"), ("event_date",), keep=3)
     staged.commit(stage(spark, events()))
     tables = [
         (VersionedTable(spark, str(tmp_path / name), ("month",), cluster, keep=2), build)
@@ -109,8 +109,9 @@ def test_only_months_of_changed_days_are_combined_again(spark, stored):
     assert follow(staged, tables) == [set()] * 3  # nothing new, nothing written
     assert [table.version().partitions for table, _ in tables] == before
 
-    late = stage(spark, [event(42, "view_item", user="d", items=[item("q")])])
-    staged.commit(late, from_value("event_date", "2024-02-12"))
+    # the tenth is restated; the other days of February are combined again with it
+    late = stage(spark, [event(40, "purchase", user="d", tx="T2", usd=1.0), event(40, "view_item", user="d", items=[item("q")])])
+    staged.commit(late, lambda day: day == "event_date=2024-02-10")
     assert follow(staged, tables) == [{"month=2024-02-01"}] * 3
     check(staged, tables)
     for (table, _), old in zip(tables, before):

@@ -6,9 +6,11 @@ import re
 import time
 import zlib
 from collections import Counter
+from dataclasses import replace
 from datetime import date
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -464,3 +466,25 @@ def test_url_lists(spark):
     assert len(found) == len(captures)
     assert url_filter.filtered(table.limit(0), entries).count() == 0
     assert not any(r.blocked for r in url_filter.filtered(table, entries.limit(0)).collect())
+
+
+def test_quality_learns_from_every_labelled_row(spark, docs, labels):
+    """All good rows reach the trees, in equal numbers, and each labelled row weighs in the threshold."""
+    rng = np.random.default_rng(4)
+    rows = [(int(d), *map(float, x)) for d, x in zip(rng.integers(0, 1 << 62, 30_000), rng.normal(size=(30_000, 6)))]
+    shape = "draw long, " + ", ".join(f"{f} double" for f in quality.FEATURES)
+    good = spark.createDataFrame(rows, shape).repartition(3)
+    forest = quality.grow_forest(good, len(rows))
+    roots = quality._ranges(good, replace(forest, feature=np.full(quality.TREES, quality._OPEN)), 1)
+    assert roots["n"].sum() == len(rows) and set(roots["node"]) == set(range(quality.TREES))
+    again = quality.grow_forest(good.repartition(5), len(rows))
+    assert np.array_equal(forest.cut, again.cut) and not (forest.feature == quality._OPEN).all()
+    x = np.array([r[1:] for r in rows])
+    assert forest.score(x + 30).min() > np.quantile(forest.score(x), 0.99)
+    # 21,000 labelled copies of one odd text, which are good: no cap may hide that they are
+    odd = "# # # WWW !!! ??? zz zzz q x y k l m n o"
+    counted = quality._counted(docs.select("doc_id", "text").unionByName(spark.range(10**6, 10**6 + 21_000).selectExpr("id as doc_id", f"'{odd}' as text")))
+    marks = labels.select("doc_id", "quality").unionByName(spark.range(10**6, 10**6 + 21_000).selectExpr("id as doc_id", "cast(1 as int) as quality"))
+    counts = pd.DataFrame([quality.statistics_of(odd)], columns=quality.COUNTS)
+    found = quality.fit(counted, marks)
+    assert found.score(quality.features(counts))[0] < found.threshold

@@ -48,7 +48,7 @@ class Deployment:
         if self.root is None:
             return None
         with sized_shuffles(*[self.spark.read.parquet(f"{self.sf_dir}/{t}.parquet") for t in ("events", "lineitem")]):
-            adapter.write_export(self.raw, f"{self.root}/raw")
+            adapter.write_export(adapter.flat_events(self.spark, self.sf_dir), f"{self.root}/raw")
         return f"{self.root}/raw"
 
     def _shards(self, family: str) -> DataFrame:

@@ -1,10 +1,13 @@
 """Physical plans: pruned scans, no pair-wise joins, no text aggregates over events."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from parity.deployment import Deployment
 from trailweave.plans import product, sessions
 from trailweave.plans.pipeline import MARTS
+from trailweave.sources import adapter
+from trailweave.sources.export import read_shards
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -72,3 +75,20 @@ def test_events_are_combined_before_they_are_copied_for_totals(spark, name):
             assert not (below_expand and stored), name
             below_expand = False
     assert seen
+
+
+def test_export_moves_flat_rows(spark, tmp_path):
+    """What is dealt out to the shards are flat rows; written and read back, they are the raw events of each family."""
+    flat = adapter.flat_events(spark, SF_DIR)
+    dealt = adapter.dealt_events(flat)
+    assert not {"event_params", "items", "device"} & set(dealt.columns)
+    plan = adapter.nested_events(dealt, "family")._jdf.queryExecution().optimizedPlan().toString()
+    assert "item_params" not in plan[plan.index("RebalancePartitions") :]
+    adapter.write_export(flat, str(tmp_path))
+    raw = adapter.raw_events(spark, SF_DIR)
+    for family in ("daily", "intraday"):
+        stored = read_shards(spark, adapter.family_path(str(tmp_path), family))
+        wanted = adapter.family_rows(raw, family).select(*stored.columns)
+        key = F.xxhash64(*[F.to_json(F.struct(c)) for c in stored.columns if c != "shard_date"])
+        keys = [sorted(r[0] for r in df.select(key).collect()) for df in (stored, wanted)]
+        assert keys[0] == keys[1] and keys[0]

@@ -71,13 +71,13 @@ def _event_name(kind: Column, k: Column) -> Column:
     )
 
 
-def order_items(spark: SparkSession, sf_dir: str, wanted: DataFrame) -> DataFrame:
-    """One row per wanted order (``event_id``): its lines as an item array, by line number and part.
+def order_lines(spark: SparkSession, sf_dir: str, wanted: DataFrame) -> DataFrame:
+    """One row per wanted order (``event_id``): its lines as an array, by line number and part.
 
     Lines that repeat both are one item, with their quantities and revenues summed. They are
     combined before they meet the wanted orders, so that an order holding a large share of all
-    lines has shrunk by then; flat values are nested, and the items are formed from them
-    afterwards. One raw event row holds all items of its order, as the export's schema has it.
+    lines has shrunk by then; the items are formed from the flat lines where events are nested.
+    One raw event row holds all items of its order, as the export's schema has it.
     """
     lines = (
         spark.read.parquet(f"{sf_dir}/lineitem.parquet")
@@ -92,31 +92,27 @@ def order_items(spark: SparkSession, sf_dir: str, wanted: DataFrame) -> DataFram
     )
     parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_type", "p_brand")
     flat = F.struct("line", "p_partkey", "p_name", "p_type", "p_brand", "quantity", "revenue")
+    return lines.join(parts, "p_partkey", "left").groupBy("event_id").agg(F.array_sort(F.collect_list(flat)).alias("lines"))
 
-    def item(x: Column) -> Column:
-        line, kind, brand = x["line"], x["p_type"], x["p_brand"]
-        return F.struct(
-            F.concat(F.lit("p"), x["p_partkey"].cast("string")).alias("item_id"),
-            x["p_name"].alias("item_name"),
-            F.when(line == 5, F.lit("")).otherwise(kind).alias("item_category"),
-            brand.alias("item_category3"),
-            x["quantity"].alias("quantity"),
-            x["revenue"].alias("item_revenue"),
-            x["revenue"].alias("item_revenue_in_usd"),
-            F.when(line % 2 == 1, F.concat(F.lit("/home/"), kind, F.lit("/"), brand)).alias("item_list_name"),
-            F.array(_param("line", text=F.concat(F.lit("L"), line.cast("string")))).alias("item_params"),
-        )
 
-    return (
-        lines.join(parts, "p_partkey", "left")
-        .groupBy("event_id")
-        .agg(F.array_sort(F.collect_list(flat)).alias("lines"))
-        .select("event_id", F.transform("lines", item).alias("items"))
+def _item(x: Column) -> Column:
+    """The item of a flat line."""
+    line, kind, brand = x["line"], x["p_type"], x["p_brand"]
+    return F.struct(
+        F.concat(F.lit("p"), x["p_partkey"].cast("string")).alias("item_id"),
+        x["p_name"].alias("item_name"),
+        F.when(line == 5, F.lit("")).otherwise(kind).alias("item_category"),
+        brand.alias("item_category3"),
+        x["quantity"].alias("quantity"),
+        x["revenue"].alias("item_revenue"),
+        x["revenue"].alias("item_revenue_in_usd"),
+        F.when(line % 2 == 1, F.concat(F.lit("/home/"), kind, F.lit("/"), brand)).alias("item_list_name"),
+        F.array(_param("line", text=F.concat(F.lit("L"), line.cast("string")))).alias("item_params"),
     )
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event once, with the raw schema; ``shard_date`` is its own date."""
+def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event once, with all that its raw row is made of, and its ``shard_date``."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     page_count = pages.agg(F.count("*").alias("pages"))
     places = (
@@ -126,8 +122,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(spark.read.parquet(f"{sf_dir}/region.parquet").withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
         .select("user_id", "n_name", "r_name", "n_regionkey")
     )
-    eid, uid, k, sid, c = (F.col(n) for n in ("event_id", "user_id", "k", "sid", "c"))
-    us = F.col("t_us")
+    eid, uid, k, sid = (F.col(n) for n in ("event_id", "user_id", "k", "sid"))
     events = (
         spark.read.parquet(f"{sf_dir}/events.parquet")
         .withColumns(
@@ -141,12 +136,19 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("page_id", eid % page_count.scalar())
     )
     commerce = events.where(F.col("event_name").isin(*COMMERCE))
-    base = (
-        events.join(pages, "page_id", "left")
+    return (
+        events.drop("ts", "event_type", "props")
+        .join(pages, "page_id", "left")
         .join(places, "user_id", "left")
-        .join(order_items(spark, sf_dir, commerce), "event_id", "left")
+        .join(order_lines(spark, sf_dir, commerce), "event_id", "left")
+        .withColumn("shard_date", F.date_format(F.timestamp_micros("t_us"), "yyyyMMdd"))
     )
-    day = F.date_format(F.timestamp_micros(us), "yyyyMMdd")
+
+
+def nested_events(flat: DataFrame, *keep: str) -> DataFrame:
+    """Flat events, one to one, with the raw schema; ``keep`` carries other columns along."""
+    eid, uid, k, sid, c = (F.col(n) for n in ("event_id", "user_id", "k", "sid", "c"))
+    us, day = F.col("t_us"), F.date_format(F.timestamp_micros("t_us"), "yyyyMMdd")
     location = F.when(eid % 11 == 0, F.lit(None)).when(eid % 23 == 0, F.lit("not-a-url")).otherwise(F.col("url"))
     page_kind = _pick(eid % 8, PAGE_TYPES)
     depth = F.get(F.array(*[F.lit(v).cast("double") for v in DEPTHS]), (eid % len(DEPTHS)).cast("int"))
@@ -166,7 +168,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     buys = F.col("event_name") == "purchase"
     platform = F.when(uid % 10 == 0, "ANDROID").when(uid % 10 == 5, "IOS").otherwise("WEB")
-    return base.select(
+    return flat.select(
         day.alias("event_date"),
         us.alias("event_timestamp"),
         "event_name",
@@ -207,12 +209,18 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                 (k % 5 + 1).cast("bigint").alias("total_item_quantity"),
             ),
         ).alias("ecommerce"),
-        F.when(F.col("event_name").isin(*COMMERCE), F.col("items")).alias("items"),
-        day.alias("shard_date"),
+        F.when(F.col("event_name").isin(*COMMERCE), F.transform("lines", _item)).alias("items"),
+        "shard_date",
+        *keep,
     )
 
 
-def export_rows(raw: DataFrame) -> DataFrame:
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event once, with the raw schema; ``shard_date`` is its own date."""
+    return nested_events(flat_events(spark, sf_dir))
+
+
+def export_rows(events: DataFrame, number: str = "batch_ordering_id") -> DataFrame:
     """Each event once per shard it is exported in, tagged with the shard ``family``.
 
     Intraday shards hold every tenth of their events twice, as a replay would.
@@ -223,21 +231,25 @@ def export_rows(raw: DataFrame) -> DataFrame:
         F.array(
             F.when(in_daily, F.lit("daily")),
             F.when(in_intraday, F.lit("intraday")),
-            F.when(in_intraday & (F.col("batch_ordering_id") % 10 == 0), F.lit("intraday")),
+            F.when(in_intraday & (F.col(number) % 10 == 0), F.lit("intraday")),
         )
     )
-    return raw.withColumn("family", F.explode(families))
+    return events.withColumn("family", F.explode(families))
 
 
 def family_rows(raw: DataFrame, family: str) -> DataFrame:
     return export_rows(raw).where(F.col("family") == family).drop("family")
 
 
-def write_export(raw: DataFrame, root: str) -> None:
+def dealt_events(flat: DataFrame) -> DataFrame:
+    """Events dealt out to the shards of both families: flat, as nested they are several times the size."""
+    return export_rows(flat, "event_id").hint("rebalance", "family", "shard_date")
+
+
+def write_export(flat: DataFrame, root: str) -> None:
     """Both shard families in one pass over the events; read ``family_path`` of either back."""
     (
-        export_rows(raw)
-        .hint("rebalance", "family", "shard_date")
+        nested_events(dealt_events(flat), "family")
         .sortWithinPartitions("family", "shard_date", "event_timestamp")
         .write.mode("overwrite")
         .partitionBy("family", "shard_date")

@@ -10,7 +10,7 @@ from trailweave import configure
 from trailweave.config import EngineConfig
 from trailweave.plans import first_visit, sessions, staging
 from trailweave.plans.pipeline import MARTS, Warehouse
-from trailweave.session import shared_root, sized_shuffles
+from trailweave.session import shared_root, size_shuffles
 from trailweave.sources import adapter
 from trailweave.sources.export import read_shards, uncovered_intraday
 from trailweave.sources.schema import PHYSICAL_KEY
@@ -31,6 +31,8 @@ class Deployment:
         self.spark, self.sf_dir = configure(spark), sf_dir
         self.root = shared_root(spark)
         self._committed: set[str] = set()
+        # for the queries too, which run after they are returned
+        size_shuffles(*[self.spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("events", "lineitem")])
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Deployment:
@@ -47,8 +49,7 @@ class Deployment:
     def _export(self) -> str | None:
         if self.root is None:
             return None
-        with sized_shuffles(*[self.spark.read.parquet(f"{self.sf_dir}/{t}.parquet") for t in ("events", "lineitem")]):
-            adapter.write_export(adapter.flat_events(self.spark, self.sf_dir), f"{self.root}/raw")
+        adapter.write_export(adapter.flat_events(self.spark, self.sf_dir), f"{self.root}/raw")
         return f"{self.root}/raw"
 
     def _shards(self, family: str) -> DataFrame:

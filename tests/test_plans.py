@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from parity.deployment import Deployment
 from trailweave.plans import product, sessions
 from trailweave.plans.pipeline import MARTS
+from trailweave.session import size_shuffles
 from trailweave.sources import adapter
 from trailweave.sources.export import read_shards
 
@@ -92,3 +93,16 @@ def test_export_moves_flat_rows(spark, tmp_path):
         key = F.xxhash64(*[F.to_json(F.struct(c)) for c in stored.columns if c != "shard_date"])
         keys = [sorted(r[0] for r in df.select(key).collect()) for df in (stored, wanted)]
         assert keys[0] == keys[1] and keys[0]
+
+
+def test_shuffles_are_cut_small(spark):
+    """100 MB of shuffled rows go to several tasks, and the count to start with follows the tables for later queries too."""
+    wide = spark.range(1_500_000).select(*[F.xxhash64("id", F.lit(k)).alias(f"c{k}") for k in range(8)])
+    assert wide.groupBy(*wide.columns).count().rdd.getNumPartitions() > 2
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    try:
+        n = size_shuffles(spark.range(1 << 30))
+        assert n >= (8 << 30) // (16 << 20) and spark.conf.get(key) == str(n)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

@@ -23,8 +23,9 @@ _TUNING = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # merge shuffle partitions up to the advisory size, not just until every core has one
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # shuffled bytes are compressed and open to ten times their size in a task's sorts and hash tables;
     # also the target size of what a rebalanced write puts into one file
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
@@ -34,7 +35,9 @@ _TUNING = {
     ),
 }
 
-SHUFFLE_PARTITION_BYTES = 128 << 20
+# of the scanned columnar files, which shuffles of nested rows exceed several times
+SHUFFLE_PARTITION_BYTES = 4 << 20
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 # what the planner puts for an input whose size it cannot tell
 UNKNOWN_BYTES = (1 << 63) - 1
 
@@ -49,27 +52,32 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@contextmanager
-def sized_shuffles(*inputs: DataFrame) -> Iterator[int]:
-    """Within, shuffles start with enough partitions for all the inputs; adaptive execution merges small ones.
+def size_shuffles(*inputs: DataFrame) -> int:
+    """From now on, shuffles start with enough partitions for all the inputs; adaptive execution merges small ones.
 
-    Only ever raises the count the submitter set, and puts it back at the end. Sizes are those of
-    the tables scanned, after partition pruning; estimates of joins multiply and say nothing.
+    Only ever raises the count the submitter set. Sizes are those of the tables scanned, after partition
+    pruning; estimates of joins multiply and say nothing.
     """
-    spark, key = inputs[0].sparkSession, "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    total = sum(_scanned_bytes(df) for df in inputs)
-    wanted = total // SHUFFLE_PARTITION_BYTES
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    before = spark.conf.get(key, None)
+    spark = inputs[0].sparkSession
+    wanted = sum(_scanned_bytes(df) for df in inputs) // SHUFFLE_PARTITION_BYTES
+    current = int(spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
     if wanted > current:
-        spark.conf.set(key, wanted)
+        spark.conf.set(_INITIAL, wanted)
+    return max(wanted, current)
+
+
+@contextmanager
+def sized_shuffles(*inputs: DataFrame) -> Iterator[int]:
+    """``size_shuffles`` within; the count is put back at the end."""
+    spark = inputs[0].sparkSession
+    before = spark.conf.get(_INITIAL, None)
     try:
-        yield max(wanted, current)
+        yield size_shuffles(*inputs)
     finally:
         if before is None:
-            spark.conf.unset(key)
+            spark.conf.unset(_INITIAL)
         else:
-            spark.conf.set(key, before)
+            spark.conf.set(_INITIAL, before)
 
 
 def _scanned_bytes(df: DataFrame) -> int:

@@ -123,6 +123,15 @@ def test_stages_keep_the_columns(spark):
     assert set(docs.columns) <= set(corpus_pipeline.STAGES[-1][1](spark, docs, SF).columns)
 
 
+def test_texts_go_to_python_once_a_stage(spark):
+    """Workers keep what they once took: a stage's texts are read in one pass, and written with what was found."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for stage, passes in ((corpus_pipeline.good, 1), (corpus_pipeline.unlike, 0)):
+        plan = stage(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"\(?\d*\)?\s*ArrowEvalPython \[", plan)) == passes, plan
+        assert not re.search(r"ArrowEvalPython \[[^\n]*text#", plan)
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_queries_match_sql(spark, name):
     assert_matches_sql(queries.QUERIES[name](spark, SF), duck(SF), queries.ORACLE_SQL[name])

@@ -14,6 +14,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,9 +88,11 @@ def statistics_of(text: str | None) -> tuple[int, ...]:
 def text_statistics(text: str) -> Column:
     """The counts of a column's texts as a struct."""
 
-    @F.pandas_udf(", ".join(f"{c} long" for c in COUNTS))
-    def counts(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([statistics_of(t) for t in texts], columns=COUNTS)
+    @F.arrow_udf(", ".join(f"{c} long" for c in COUNTS))
+    def counts(texts: pa.Array) -> pa.Array:
+        # one text at a time leaves the batch: a worker never holds the strings of all of them
+        found = np.array([statistics_of(t.as_py()) for t in texts], np.int64).reshape(-1, len(COUNTS))
+        return pa.StructArray.from_arrays([pa.array(c) for c in found.T], COUNTS)
 
     return counts(text)
 
@@ -319,7 +322,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """`docs` without the rejected documents, columns unchanged."""
+    """`docs` without the rejected documents, columns unchanged.
+
+    Rows are written with their counts, so that the texts are gone through once.
+    """
     check = fresh("check")
-    judged = docs.withColumn(check, _judge(fit(_counted(docs), labels), text_statistics("text")))
+    counted = write_table(docs.withColumn(check, text_statistics("text")), "counts")
+    judged = counted.withColumn(check, _judge(fit(counted.select("doc_id", f"{check}.*"), labels), F.col(check)))
     return judged.where(f"{check}.kept").select(*[F.col(f"`{c}`") for c in docs.columns])

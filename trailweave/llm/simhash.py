@@ -15,7 +15,7 @@ square, and no link is lost: all of them end in the same component.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,10 +52,11 @@ def fingerprint_of(words: list[bytes]) -> int:
 def fingerprints(docs: DataFrame, name: str = "fp") -> DataFrame:
     """`docs` with the fingerprint of the whole text as a signed long; null text has no words."""
 
-    @F.pandas_udf("long")
-    def fingerprint(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("long")
+    def fingerprint(texts: pa.Array) -> pa.Array:
+        # one text at a time leaves the batch: a worker never holds the strings of all of them;
         # bytes.split() splits at ASCII white space, which is what separates words
-        return pd.Series([fingerprint_of(t.encode("utf-8", "surrogatepass").split()) for t in texts], dtype="int64")
+        return pa.array([fingerprint_of(t.as_py().split()) for t in texts.cast(pa.binary())], pa.int64())
 
     return docs.withColumn(name, fingerprint(lower_ascii(F.col("text"))))
 
@@ -144,7 +145,11 @@ def near_duplicates(docs: DataFrame, pairwise: int = PAIRWISE) -> DataFrame:
     component's id unless the component has no other. Repeated rows are repeated in the result.
     Other columns of `docs` are not read.
     """
-    rows = write_table(fingerprints(docs.select("doc_id", "text")).select("doc_id", "fp"), "fingerprints")
+    return _classes(write_table(fingerprints(docs.select("doc_id", "text")).select("doc_id", "fp"), "fingerprints"), pairwise)
+
+
+def _classes(rows: DataFrame, pairwise: int) -> DataFrame:
+    """``near_duplicates`` of the written `rows` of doc_id and fp."""
     least = write_table(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = write_table(components(_links(least.select("fp"), pairwise)), "roots")
     grown = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
@@ -158,10 +163,12 @@ def near_duplicates(docs: DataFrame, pairwise: int = PAIRWISE) -> DataFrame:
 def keep_one_of_each(docs: DataFrame, pairwise: int = PAIRWISE) -> DataFrame:
     """`docs` with one document of each component, columns unchanged: the one with the smallest doc_id.
 
-    Of rows that repeat this doc_id one stays.
+    Of rows that repeat this doc_id one stays. Rows are written with their fingerprints, so that the
+    texts are gone through once.
     """
     fp = fresh("fp")
+    marked = write_table(fingerprints(docs, fp), "fingerprinted")
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("best")
-    kept = near_duplicates(docs, pairwise).groupBy("root").agg(best)
+    kept = _classes(marked.select("doc_id", F.col(fp).alias("fp")), pairwise).groupBy("root").agg(best)
     kept = kept.select("best.doc_id", F.col("best.fp").alias(fp))
-    return keep_one(fingerprints(docs, fp), kept, fp).drop(fp)
+    return keep_one(marked, kept, fp).drop(fp)

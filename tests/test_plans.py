@@ -106,3 +106,15 @@ def test_shuffles_are_cut_small(spark):
         assert n >= (8 << 30) // (16 << 20) and spark.conf.get(key) == str(n)
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_scans_are_cut_small(spark, tmp_path):
+    """A task reads 32 MB of a file at most, however few tasks the tables' size asks for."""
+    wide = spark.range(0, 700_000, 1, 1).select(*[F.xxhash64("id", F.lit(k)).alias(f"c{k}") for k in range(8)])
+    wide.write.parquet(str(tmp_path / "wide"))
+    key = "spark.sql.files.minPartitionNum"
+    spark.conf.set(key, 1)
+    try:
+        assert spark.read.parquet(str(tmp_path / "wide")).rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.unset(key)

@@ -27,6 +27,8 @@ _TUNING = {
     # also the target size of what a rebalanced write puts into one file
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a scan task combines its rows before they are shuffled and sorts those it writes, all in memory while it lasts
+    "spark.sql.files.maxPartitionBytes": "32m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     # the feed's keys are kept on disk, not on the heap

@@ -43,6 +43,34 @@ def test_ids_and_text_are_those_of_the_library(codec, library):
         assert codec.decode(ids) == library.decode(ids), text
 
 
+def test_many_texts_together_are_encoded_as_in_the_library(codec, library):
+    texts = [None, *ODD, "z" * 70, "日本" * 40, *random_texts(codec, 3000), ""]
+    assert list(codec.encode_all(texts)) == [library.encode(text or "") for text in texts]
+    assert list(codec.encode_all([])) == []
+    for ids in codec.encode_all(texts[:200]):
+        assert codec.listed(ids) == ",".join(map(str, ids))
+
+
+def test_little_memory_changes_no_ids(library, monkeypatch):
+    for name, value in {"REMEMBERED": 5, "REMEMBERED_PAIRS": 3, "REMEMBERED_STEPS": 2, "REMEMBERED_LENGTH": 9, "MANY": 1, "MOST": 4, "TOGETHER": 50}.items():
+        monkeypatch.setattr(piece_bpe, name, value)
+    codec = piece_bpe.codec()
+    texts = [*ODD, "un" * 20, "the theory of the thing " * 3, *ODD]
+    codec.encode("")
+    texts += random_texts(codec, 300)
+    assert list(codec.encode_all(texts)) == [library.encode(text) for text in texts]
+    assert len(codec.known) <= 5
+
+
+def test_new_parts_of_many_texts_are_not_taken_one_at_a_time(library, monkeypatch):
+    r, single = random.Random(14), []
+    taken = piece_bpe.Codec.last_tokens
+    monkeypatch.setattr(piece_bpe.Codec, "last_tokens", lambda self, part: single.append(part) or taken(self, part))
+    texts = [" ".join("".join(r.choices("etaoinshrdlu", k=r.randrange(3, 12))) for _ in range(50)) for _ in range(40)]
+    assert list(piece_bpe.codec().encode_all(texts)) == [library.encode(text) for text in texts]
+    assert single == []
+
+
 def test_any_ids_decode_as_in_the_library(codec, library):
     r = random.Random(12)
     for _ in range(3000):

@@ -8,7 +8,8 @@ merge is carried out on the text. Whether two tokens may stand side by side is r
 merges that make each of them: they may unless a merge across their border comes first.
 
 Text is cut where no piece can reach over, and each Python worker remembers the ids of a bounded
-number of such parts.
+number of such parts. The parts that some texts bring anew take both passes side by side, character
+by character; long ones and few take them one at a time.
 """
 
 from __future__ import annotations
@@ -16,11 +17,10 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cached_property
 from itertools import chain
 
-import ahocorasick
 import numpy as np
 import pandas as pd
 import public_tokenizers
@@ -29,16 +29,84 @@ from pyspark.sql import functions as F
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-#: Parts and pairs of tokens that a worker remembers at most; some 50 MB each.
+#: Parts that a worker remembers at most, beside those of the texts at hand, and pairs of tokens of
+#: parts taken one at a time; some 50 and 20 MB.
 REMEMBERED = 150_000
-REMEMBERED_PAIRS = 500_000
-#: Longer parts are not remembered.
+#: Pairs and steps of the automaton of parts taken side by side, as powers of two; 25 and 3 MB.
+REMEMBERED_PAIRS, REMEMBERED_STEPS = 21, 18
+#: Longer parts are not remembered, and taken one at a time.
 REMEMBERED_LENGTH = 64
+#: Fewer new parts are taken one at a time, and no more than so many side by side.
+MANY, MOST = 200, 50_000
+#: Characters of the texts that are encoded together, at least, if there are as many.
+TOGETHER = 300_000
 #: What the model file calls the kinds of its pieces.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 UNKNOWN_TEXT = " ⁇ "
 
 
+class Remembered:
+    """What `find` says of a number, for many at once; each has one slot, which it may lose to another."""
+
+    def __init__(self, find: Callable[[int], int], power: int):
+        self.find, self.shift = find, np.uint64(64 - power)
+        self.numbers, self.answers = np.full(1 << power, -1, np.int64), np.zeros(1 << power, np.int32)
+
+    def __call__(self, numbers: np.ndarray) -> np.ndarray:
+        slots = (numbers.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+        answers = self.answers[slots]
+        missed = np.flatnonzero(self.numbers[slots] != numbers)
+        if len(missed):
+            fresh, first, place = np.unique(numbers[missed], return_index=True, return_inverse=True)
+            found = np.fromiter(map(self.find, fresh.tolist()), np.int32, len(fresh))
+            answers[missed] = found[place]
+            slots = slots[missed[first]]
+            self.numbers[slots], self.answers[slots] = fresh, found
+        return answers
+
+
+class Automaton:
+    """The beginnings of words as states: a character leads to the longest end of the text that is one too."""
+
+    def __init__(self, words: list[str]):
+        self.steps: list[dict[str, int]] = [{}]
+        #: by state: the state of its longest own end, and the number (from 1 on) of the longest word that ends there
+        self.shorter, self.ends = [0], [0]
+        #: by word: the longest other one that ends where it does, or 0
+        self.within = [0] * (len(words) + 1)
+        above = [(0, "")]
+        for number, word in enumerate(words, 1):
+            state = 0
+            for c in word:
+                below = self.steps[state].get(c)
+                if below is None:
+                    below = self.steps[state][c] = len(self.steps)
+                    above.append((state, c))
+                    self.steps.append({})
+                    self.shorter.append(0)
+                    self.ends.append(0)
+                state = below
+            self.ends[state] = number
+        level = [*self.steps[0].values()]
+        while level:
+            for state in level:
+                over, c = above[state]
+                self.shorter[state] = self.after(self.shorter[over], c) if over else 0
+                shorter = self.ends[self.shorter[state]]
+                if self.ends[state]:
+                    self.within[self.ends[state]] = shorter
+                else:
+                    self.ends[state] = shorter
+            level = [below for state in level for below in self.steps[state].values()]
+
+    def after(self, state: int, c: str) -> int:
+        while (found := self.steps[state].get(c)) is None:
+            if not state:
+                return 0
+            state = self.shorter[state]
+        return found
+
+
 class Codec:
     """Encodes and decodes as the model's own library does, without begin or end ids."""
 
@@ -65,14 +133,23 @@ class Codec:
         self.lefts = {symbol: self._edge(symbol, 0) for symbol in symbols}
         # numbers for the pass forward: a symbol's own, from 1 on
         self.symbols = ["", *self.rights]
-        self.automaton = ahocorasick.Automaton()
-        for number, symbol in enumerate(self.symbols[1:], 1):
-            self.automaton.add_word(symbol, (len(symbol), number))
-        self.automaton.make_automaton()
+        self.automaton = Automaton(self.symbols[1:])
         self.numbers = [self._ids_of(symbol) for symbol in self.symbols]
+        self.lengths = [len(symbol) for symbol in self.symbols]
+        self.shared = [*range(len(self.pieces))]  # one object for an id, wherever it is remembered
+        self.written = [str(i) for i in range(len(self.pieces))]
+        # the same as arrays, for many parts at once; -1 for symbols that are no piece
+        self.letters = ["", *sorted({*chain.from_iterable(symbols)})]
+        self.letter_of = np.zeros(0x110000, np.int32)
+        self.letter_of[[ord(c) for c in self.letters[1:]]] = range(1, len(self.letters))
+        self.only = np.array([n[0] if len(n) == 1 else -1 for n in self.numbers], np.int32)
+        self.length, self.ends, self.within = (
+            np.array(x, np.int32) for x in (self.lengths, self.automaton.ends, self.automaton.within)
+        )
         self.cut = next(cut for cut in self._cuts() if all(map(cut.fullmatch, self.ids)))
         self.known: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[int, bool] = {}
+        self.asked: dict[int, bool] = {}
+        self.pairs, self.steps = Remembered(self._pair, REMEMBERED_PAIRS), Remembered(self._step, REMEMBERED_STEPS)
 
     @staticmethod
     def _raw(piece: str, kind: int) -> bytes:
@@ -156,23 +233,55 @@ class Codec:
                         return False
         return True
 
+    def _pair(self, pair: int) -> bool:
+        return self.beside(self.symbols[pair >> 32], self.symbols[pair & 0xFFFFFFFF])
+
+    def _step(self, step: int) -> int:
+        return self.automaton.after(step >> 32, self.letters[step & 0xFFFFFFFF])
+
     def last_tokens(self, text: str) -> list[int]:
         """The number of the last token of the encoding of each prefix; 0 for a character that no piece holds."""
-        last, pairs, symbols = [0] * len(text), self.pairs, self.symbols
-        for end, (length, number) in self.automaton.iter(text):
-            if last[end]:
-                continue  # of the pieces that end here exactly one fits
-            start = end - length
-            if start >= 0 and (before := last[start]):
-                pair = before << 24 | number
-                beside = pairs.get(pair)
+        last, state, asked, symbols = [0], 0, self.asked, self.symbols  # `last` by length of the prefix
+        steps, ends, within, lengths = self.automaton.steps, self.automaton.ends, self.automaton.within, self.lengths
+        for end, c in enumerate(text, 1):
+            below = steps[state].get(c)
+            state = self.automaton.after(state, c) if below is None else below
+            number = ends[state]
+            while number and (before := last[end - lengths[number]]):
+                pair = before << 32 | number
+                beside = asked.get(pair)
                 if beside is None:
-                    beside = pairs[pair] = self.beside(symbols[before], symbols[number])
-                if not beside:
-                    continue
-            last[end] = number
-        if len(pairs) > REMEMBERED_PAIRS:
-            pairs.clear()
+                    beside = asked[pair] = self.beside(symbols[before], symbols[number])
+                if beside:
+                    break  # of the pieces that end here exactly one fits
+                number = within[number]
+            last.append(number)
+        if len(asked) > REMEMBERED:
+            asked.clear()
+        del last[0]
+        return last
+
+    def _last_tokens(self, parts: list[str], lengths: np.ndarray) -> np.ndarray:
+        """The same for many parts, longest first: by length of the prefix and by part."""
+        codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        letters = self.letter_of[codes].astype(np.int64)
+        starts = np.cumsum(lengths) - lengths
+        last = np.zeros((lengths[0] + 1, len(parts)), np.int32)
+        state = np.zeros(len(parts), np.int32)
+        for end in range(1, lengths[0] + 1):
+            reach = np.searchsorted(-lengths, -end, "right")  # so many are as long
+            state = self.steps(state[:reach].astype(np.int64) << 32 | letters[starts[:reach] + end - 1])
+            number = self.ends[state]
+            at = np.flatnonzero(number)
+            number = number[at]
+            while len(at):
+                before = last[end - self.length[number], at]
+                fits = before == 0
+                asked = np.flatnonzero(~fits)
+                fits[asked] = self.pairs(before[asked].astype(np.int64) << 32 | number[asked])
+                last[end, at[fits]] = number[fits]
+                at, number = at[~fits], self.within[number[~fits]]
+                at, number = at[number > 0], number[number > 0]
         return last
 
     def _ids_of(self, symbol: str) -> tuple[int, ...]:
@@ -183,36 +292,84 @@ class Codec:
     def _part(self, part: str) -> tuple[int, ...]:
         if part in self.parts:
             return (self.ids[part],)
-        last, symbols, numbers = self.last_tokens(part), self.symbols, self.numbers
+        last, lengths, numbers = self.last_tokens(part), self.lengths, self.numbers
         at, found = len(part) - 1, []
         while at >= 0:
             number = last[at]
             if number:
                 found += numbers[number]
-                at -= len(symbols[number])
+                at -= lengths[number]
             else:
                 found += self._ids_of(part[at])
                 at -= 1
         found.reverse()
         return tuple(found)
 
+    def _parts(self, parts: Iterable[str]) -> dict[str, tuple[int, ...]]:
+        """The ids of many different parts."""
+        parts = sorted(parts, key=len, reverse=True)
+        long = next((k for k, part in enumerate(parts) if len(part) <= REMEMBERED_LENGTH), len(parts))
+        if len(parts) - long < MANY:
+            long = len(parts)
+        found = {part: self._part(part) for part in parts[:long]}
+        for k in range(long, len(parts), MOST):
+            found |= self._side_by_side(parts[k : k + MOST])
+        return found
+
+    def _side_by_side(self, parts: list[str]) -> dict[str, tuple[int, ...]]:
+        """The ids of parts, longest first."""
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        last = self._last_tokens(parts, lengths)
+        # backwards: the last tokens of all parts, then those before them
+        at, part, rounds = lengths, np.arange(len(parts)), []
+        while len(part):
+            number = last[at, part]
+            rounds.append((part, self.only[number]))
+            at = at - np.maximum(self.length[number], 1)
+            at, part = at[at > 0], part[at > 0]
+        of, ids = (np.concatenate(x) for x in zip(*reversed(rounds), strict=True))
+        ends, in_order = np.cumsum(np.bincount(of)).tolist(), ids[np.argsort(of, kind="stable")]
+        flat = tuple(map(self.shared.__getitem__, in_order.tolist()))
+        found = {part: flat[a:b] for part, a, b in zip(parts, [0, *ends[:-1]], ends, strict=True)}
+        for k in {*of[ids < 0].tolist()}:  # letters that are no piece give bytes
+            found[parts[k]] = self._part(parts[k])
+        return found
+
     def encode(self, text: str | None) -> list[int]:
         """Ids of the whole text; null counts as empty, and empty text has none."""
+        return self._together([text])[0]
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[list[int]]:
+        """The ids of each text; some texts are encoded together."""
+        some, size = [], 0
+        for text in texts:
+            some.append(text)
+            size += len(text or "")
+            if size >= TOGETHER:
+                yield from self._together(some)
+                some, size = [], 0
+        yield from self._together(some)
+
+    def _together(self, texts: list[str | None]) -> list[list[int]]:
         self._tables  # noqa: B018
-        if not text:
-            return []
-        text = (SPACE if self.prefixed else "") + text.replace(" ", SPACE)
-        known, parts = self.known, self.cut.findall(text)
-        fresh = {*parts}.difference(known)
-        for part in fresh:
-            known[part] = self._part(part)
-        ids = list(chain.from_iterable(map(known.__getitem__, parts)))
+        before = SPACE if self.prefixed else ""
+        cut = [self.cut.findall(before + text.replace(" ", SPACE)) if text else [] for text in texts]
+        known = self.known
+        fresh = self._parts({*chain.from_iterable(cut)}.difference(known))
+        known.update(fresh)
+        found = [list(chain.from_iterable(map(known.__getitem__, parts))) for parts in cut]
         for part in fresh:
-            if len(part) > REMEMBERED_LENGTH:
-                del known[part]
+            if len(part) <= REMEMBERED_LENGTH:
+                break  # the long ones come first
+            del known[part]
         if len(known) > REMEMBERED:
             known.clear()
-        return ids
+        return found
+
+    def listed(self, ids: list[int]) -> str:
+        """The ids in decimal, joined by commas."""
+        self._tables  # noqa: B018
+        return ",".join(map(self.written.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
         """The text of the ids: bytes are put together, others that form no character become U+FFFD each."""
@@ -308,7 +465,7 @@ def encode(docs: DataFrame, model: str | None = None, name: str = "ids") -> Data
 
     @F.pandas_udf("array<int>")
     def ids_of(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.array(shared.value.encode(t), np.int32) for t in texts], dtype=object)
+        return pd.Series([np.array(ids, np.int32) for ids in shared.value.encode_all(texts)], dtype=object)
 
     return docs.withColumn(name, ids_of("text"))
 
@@ -335,10 +492,9 @@ def round_trip(docs: DataFrame, model: str | None = None) -> DataFrame:
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def trip(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text in texts:
-            ids = shared.value.encode(text)
-            rows.append((len(ids), _digest(",".join(map(str, ids))), _digest(shared.value.decode(ids))))
+        rows, codec = [], shared.value
+        for ids in codec.encode_all(texts):
+            rows.append((len(ids), _digest(codec.listed(ids)), _digest(codec.decode(ids))))
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", trip("text").alias("trip")).select("doc_id", "trip.*")
